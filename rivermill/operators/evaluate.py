@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from rivermill.functions.blocks import Axis, rolling
 from rivermill.functions.columns import EPS, from_log, season
@@ -17,14 +18,18 @@ def _pair(y: Column, p: Column) -> tuple[Column, Column]:
     return F.when(both, y), F.when(both, p)
 
 
-def kge_parts(y: Column, p: Column) -> dict[str, Column]:
-    """kge, r, alpha, beta and n as aggregate columns over complete pairs (population spread)."""
+def kge_parts(y: Column, p: Column, over: WindowSpec | None = None) -> dict[str, Column]:
+    """kge, r, alpha, beta and n over complete pairs (population spread); aggregates, or windows with `over`."""
     y, p = _pair(y, p)
-    r = F.corr(p, y)
-    alpha = F.stddev_pop(p) / (F.stddev_pop(y) + EPS)
-    beta = F.avg(p) / (F.avg(y) + EPS)
+
+    def on(agg: Column) -> Column:
+        return agg if over is None else agg.over(over)
+
+    r = on(F.corr(p, y))
+    alpha = on(F.stddev_pop(p)) / (on(F.stddev_pop(y)) + EPS)
+    beta = on(F.avg(p)) / (on(F.avg(y)) + EPS)
     score = 1 - F.sqrt(F.pow(r - 1, 2) + F.pow(alpha - 1, 2) + F.pow(beta - 1, 2))
-    return {"kge": score, "r": r, "alpha": alpha, "beta": beta, "n": F.count(y)}
+    return {"kge": score, "r": r, "alpha": alpha, "beta": beta, "n": on(F.count(y))}
 
 
 def kge(y: Column, p: Column) -> Column:

@@ -133,31 +133,37 @@ def weather_base(weather: DataFrame, basins: DataFrame, axis: Axis, halo: int =
     return df.withColumn("inflow_raw", F.when(raw > NET_INFLOW_MIN, raw).otherwise(0.0))
 
 
-def weather_features(
-    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = ()
-) -> DataFrame:
-    """All features per weather point; `weather` must be gap-free per point."""
+def _frame(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
+    """Split rows with net inflow; the halo covers every memory used below."""
     spd = axis.steps_per_day
-    keys = list(axis.keys)
-    d3, d6, half = max(1, spd // 8), max(1, spd // 4), max(1, spd // 2)
-    w, upto = axis.window(), axis.running()
-    memory = max(ewm_halo(15 * spd), 30 * spd + 7 * spd)
-
+    w = axis.window()
+    memory = max(ewm_halo(30 * spd), 30 * spd + 7 * spd)
     df = weather_base(weather, basins, axis, halo=memory)
     temp = F.col("temp")
     df = df.withColumns({"temp_48h": rolling(F.avg, temp, w, 2 * spd, 1), "temp_24h": rolling(F.avg, temp, w, spd, 1)})
     high = F.col("alt_basin") > HIGH_BASIN_M
     frost = F.pow(bound((F.col("temp_24h") + 3) / 2, 0.05, 1.0), 3)
-    df = df.withColumns(
+    return df.withColumns(
         {
             "frost_factor": F.when(high, frost),
             "net_inflow": F.when(high, F.col("inflow_raw") * frost).otherwise(F.col("inflow_raw")),
-            "melt_24h": F.when(high, rolling(F.sum, F.col("melt"), w, spd, 1)),
         }
     )
+
+
+def local_features(
+    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = ()
+) -> DataFrame:
+    """Features at the weather point itself; `weather` must be gap-free per point."""
+    spd = axis.steps_per_day
+    d3, d6 = max(1, spd // 8), max(1, spd // 4)
+    w = axis.window()
+    high = F.col("alt_basin") > HIGH_BASIN_M
+    df = _frame(weather, basins, axis).withColumn("melt_24h", F.when(high, rolling(F.sum, F.col("melt"), w, spd, 1)))
+
+    temp, precip, net = F.col("temp"), F.col("precip"), F.col("net_inflow")
     change6 = diff(temp, w, d6)
     deficit = floor_zero(F.col("et0") - F.col("ground_rain"))
-    precip, net = F.col("precip"), F.col("net_inflow")
     stage = {
         "temp_diff6_48h": diff(F.col("temp_48h"), w, d6),
         "temp_diff6_24h": diff(F.col("temp_24h"), w, d6),
@@ -169,7 +175,9 @@ def weather_features(
         "melt_72h": F.when(high, rolling(F.sum, F.col("melt"), w, 3 * spd, 1)),
         "melt_168h": F.when(high, rolling(F.sum, F.col("melt"), w, 7 * spd, 1)),
         "melt_gradient_24h": F.when(high, diff(F.col("melt_24h"), w, spd)),
-        "frost_flag": F.when(high & (F.col("point") == 1), (F.coalesce(frost < FROST_LIMIT, F.lit(False))).cast("int")),
+        "frost_flag": F.when(
+            high & (F.col("point") == 1), F.coalesce(F.col("frost_factor") < FROST_LIMIT, F.lit(False)).cast("int")
+        ),
         "antecedent_rain": ewm_mean(F.col("ground_rain"), 15 * spd, axis),
         "deficit_7d": rolling(F.sum, deficit, w, 7 * spd, 1),
         "deficit_30d": rolling(F.sum, deficit, w, 30 * spd, 1),
@@ -178,21 +186,32 @@ def weather_features(
         "rain_shock": precip / (rolling(F.avg, precip, w, spd) + OFFSET),
         "net_mean_30d": rolling(F.avg, net, w, 30 * spd, 1),
         "melt_ratio": F.col("melt") / (net + EPS),
+        **{
+            f"inflow_sum_{h}h": F.when(F.array_contains("windows", h), rolling(F.sum, net, w, max(1, h * spd // 24)))
+            for h in WINDOW_HOURS
+        },
     }
-    for hours in WINDOW_HOURS:
-        n = max(1, hours * spd // 24)
-        stage[f"inflow_sum_{hours}h"] = F.when(F.array_contains("windows", hours), rolling(F.sum, net, w, n))
     for n in lags:
         stage[f"precip_lag_{n}"] = F.lag(precip, n).over(w)
         stage[f"temp_lag_{n}"] = F.lag("temp_k", n).over(w)
         stage[f"precip_sum_{n}"] = rolling(F.sum, precip, w, n)
-    df = df.withColumns(stage)
+    return axis.core(df.withColumns(stage))
+
+
+def saturation_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
+    """30-day inflow mean against its mean since the start of the series, and changes of that index.
 
-    # Expanding mean of the 30-day mean: earlier blocks come as totals, the halo's share is taken off again.
+    The mean since the start comes as totals of earlier blocks; the part of those totals that the halo
+    repeats is taken off again.
+    """
+    spd = axis.steps_per_day
+    w, upto = axis.window(), axis.running()
+    df = _frame(weather, basins, axis)
+    df = df.withColumn("net_mean_30d", rolling(F.avg, F.col("net_inflow"), w, 30 * spd, 1))
     m30 = F.col("net_mean_30d")
     totals = {"_sum": m30, "_cnt": F.when(m30.isNotNull(), 1)}
     carry = block_prefix(df.where("_core"), axis, {f"{n}_before": c for n, c in totals.items()})
-    df = df.join(carry, [*keys, "_blk"], "left")
+    df = df.join(carry, [*axis.keys, "_blk"], "left")
 
     def expanding(n: str) -> Column:
         c = totals[n]
@@ -200,43 +219,31 @@ def weather_features(
         return F.col(f"{n}_before") + F.sum(c).over(upto) - halo_part
 
     df = df.withColumn("saturation", m30 / (expanding("_sum") / expanding("_cnt") + EPS))
-    df = df.withColumns(
-        {
-            f"saturation_diff_{h}": diff(F.col("saturation"), w, n)
-            for h, n in ((168, 7 * spd), (48, 2 * spd), (24, spd), (6, d6))
-        }
-    )
-    local = axis.core(df)
-
-    shifted = transfer_shift(local, axis)
-    return shifted_features(shifted, axis, spd, d3, d6, half)
-
+    steps = {168: 7 * spd, 48: 2 * spd, 24: spd, 6: max(1, spd // 4)}
+    df = df.withColumns({f"saturation_diff_{h}": diff(F.col("saturation"), w, n) for h, n in steps.items()})
+    return axis.core(df).select(*axis.keys, axis.ts, "saturation", *[f"saturation_diff_{h}" for h in steps])
 
-def transfer_shift(df: DataFrame, axis: Axis) -> DataFrame:
-    """Adds `inflow_shifted`: net inflow as it was `transfer_h` steps earlier (differs per point)."""
-    moved = F.timestamp_seconds(F.unix_seconds(F.col(axis.ts)) + F.col("transfer_h") * axis.step)
-    arrived = df.select(*axis.keys, moved.alias(axis.ts), F.col("net_inflow").alias("inflow_shifted"))
-    return df.join(arrived, [*axis.keys, axis.ts], "left")
 
+def travelled_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
+    """Features of the inflow when it reaches the outlet, `transfer_h` steps later.
 
-def shifted_features(df: DataFrame, axis: Axis, spd: int, d3: int, d6: int, half: int) -> DataFrame:
-    """Features of the inflow after its travel to the outlet."""
+    The travel time is constant per point, so they are built at the point and moved as whole rows.
+    """
+    spd = axis.steps_per_day
+    d3, d6, half = max(1, spd // 8), max(1, spd // 4), max(1, spd // 2)
     w = axis.window()
-    df = axis.split(df, back=max(ewm_halo(30 * spd), 30 * spd + 7 * spd))
-    x = F.col("inflow_shifted")
-    df = df.withColumn("discharge", x * F.col("surface_km2") / 3.6)
-    q = F.col("discharge")
+    df = _frame(weather, basins, axis).withColumn("inflow_shifted", F.col("net_inflow"))
+    df = df.withColumn("discharge", F.col("inflow_shifted") * F.col("surface_km2") / 3.6)
+    x, q = F.col("inflow_shifted"), F.col("discharge")
     df = df.withColumns(
         {
             "discharge_gradient_1h": diff(q, w, 1),
             "discharge_gradient_3h": diff(q, w, d3),
             "inflow_acceleration": diff(x, w, d3),
             "hydraulic_shock": diff(x, w, d6) / (F.lag(x, d6).over(w) + OFFSET),
-            "_mean_12h": rolling(F.avg, x, w, half, 1),
-            **{
-                f"_mean_{h}": rolling(F.avg, x, w, max(1, h * spd // 24), 1)
-                for h in WINDOW_HOURS
-            },
+            "_mean_half_day": rolling(F.avg, x, w, half, 1),
+            **{f"_mean_{h}": rolling(F.avg, x, w, max(1, h * spd // 24), 1) for h in WINDOW_HOURS},
+            **{f"_lag_{h}": F.lag(x, max(1, h * spd // 24)).over(w) for h in WINDOW_HOURS},
             "reserve_flash": ewm_mean(x, half, axis),
             "reserve_short": ewm_mean(x, 3 * spd, axis),
             "reserve_medium": ewm_mean(x, 7 * spd, axis),
@@ -253,16 +260,13 @@ def shifted_features(df: DataFrame, axis: Axis, spd: int, d3: int, d6: int, half
             "discharge_accel_6h": diff(F.col("discharge_gradient_3h"), w, d3),
             **{f"inflow_mean_{h}h": F.when(used(h), F.col(f"_mean_{h}")) for h in WINDOW_HOURS},
             **{f"discharge_{h}h": F.when(used(h), F.col(f"_mean_{h}") * F.col("surface_km2") / 3.6) for h in WINDOW_HOURS},
-            **{
-                f"inflow_lag_{h}h": F.when(used(h), F.lag(x, max(1, h * spd // 24)).over(w)) for h in WINDOW_HOURS
-            },
+            **{f"inflow_lag_{h}h": F.when(used(h), F.col(f"_lag_{h}")) for h in WINDOW_HOURS},
             "ratio_fast_base": F.col("reserve_short") / (F.col("reserve_base") + EPS),
-            "reactivity_12h": F.col("_mean_12h") / (last + EPS),
+            "reactivity_12h": F.col("_mean_half_day") / (last + EPS),
         }
     )
-    # The daily discharge, or that of the first window where a class has no 24 h entry.
-    df = df.withColumn("_ref", F.coalesce("discharge_24h", *[f"discharge_{h}h" for h in WINDOW_HOURS]))
-    ref = F.col("_ref")
+    # Every distance class has a 24 h window; its discharge is the reference of the slower means.
+    ref = F.col("discharge_24h")
     df = df.withColumns(
         {
             "discharge_mean_6h": rolling(F.avg, ref, w, d6, 1),
@@ -272,9 +276,29 @@ def shifted_features(df: DataFrame, axis: Axis, spd: int, d3: int, d6: int, half
         }
     )
     df = df.withColumn("surge_relative", q / (F.col("discharge_mean_6h") + OFFSET))
-    return axis.core(df)
+    made = [
+        "inflow_shifted", "discharge", "discharge_gradient_1h", "discharge_gradient_3h", "discharge_accel_6h",
+        "inflow_acceleration", "hydraulic_shock", "reserve_flash", "reserve_short", "reserve_medium", "reserve_base",
+        "ratio_fast_base", "reactivity_12h", "discharge_mean_6h", "discharge_mean_24h", "discharge_mean_7d",
+        "discharge_mean_30d", "surge_relative",
+        *[f"{n}_{h}h" for h in WINDOW_HOURS for n in ("inflow_mean", "discharge", "inflow_lag")],
+    ]
+    arrival = F.timestamp_seconds(F.unix_seconds(F.col(axis.ts)) + F.col("transfer_h") * axis.step)
+    return axis.core(df).select(*axis.keys, arrival.alias(axis.ts), *made)
 
 
-def basin_inflow(features: DataFrame) -> DataFrame:
-    """Mean discharge over the weather points of a site; missing points are skipped."""
-    return features.groupBy("site", "ts").agg(F.avg("discharge").alias("basin_inflow"))
+def weather_features(
+    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = ()
+) -> DataFrame:
+    """All features per weather point and step except the saturation index (see `saturation_features`)."""
+    keys = [*axis.keys, axis.ts]
+    return local_features(weather, basins, axis, lags).join(travelled_features(weather, basins, axis), keys, "left")
+
+
+def basin_inflow(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
+    """Mean discharge at the outlet over the weather points of a site; missing points are skipped."""
+    keys = [*axis.keys, axis.ts]
+    arrived = travelled_features(weather, basins, axis).select(*keys, "discharge")
+    return weather.select(*keys).join(arrived, keys, "left").groupBy("site", axis.ts).agg(
+        F.avg("discharge").alias("basin_inflow")
+    )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivermill.functions.blocks import densify
 from rivermill.functions.ewm import ewm_halo, ewm_mean
 from rivermill.operators import flow as fl
 from rivermill.operators import sequences as sq
@@ -29,14 +28,10 @@ def _flow(columns):
     return run
 
 
-def dense_weather(s, d):
-    return densify(wx.normalise_weather(t.weather_raw(s, d), t.POINTS), t.POINTS)
-
-
-def _weather(columns, lags=()):
+def _weather(columns, lags=(), digits=6, part=wx.weather_features):
     def run(s, d):
-        feats = wx.weather_features(dense_weather(s, d), t.basins(s, d), t.POINTS, lags)
-        return rounded(feats.select("site", "point", "ts", *columns))
+        feats = part(t.dense_weather(s, d), t.basins(s, d), t.POINTS, lags)
+        return rounded(feats.select("site", "point", "ts", *columns), digits)
 
     return run
 
@@ -56,13 +51,16 @@ def us_flow_lag(s, d):
     return t.daily(s, d).select("site", moved.alias("ts"), F.col("flow").alias("flow_lag"))
 
 
+def w29(s, d):
+    return rounded(wx.saturation_features(t.dense_weather(s, d), t.basins(s, d), t.POINTS))
+
+
 def d17(s, d):
-    feats = wx.weather_features(dense_weather(s, d), t.basins(s, d), t.POINTS)
-    return rounded(wx.basin_inflow(feats))
+    return rounded(wx.basin_inflow(t.dense_weather(s, d), t.basins(s, d), t.POINTS))
 
 
 def d20(s, d):
-    return rounded(wx.reference_temperature(dense_weather(s, d), ["site", "point"]))
+    return rounded(wx.reference_temperature(t.dense_weather(s, d), ["site", "point"]))
 
 
 def w32(s, d):
@@ -75,8 +73,8 @@ def w33(s, d):
 
 
 def w34(s, d):
-    w = dense_weather(s, d).select("site", "point", "ts", "temp_k", "precip_cum_mm")
-    return rounded(sq.weather_lag_block(w, t.POINTS, ["temp_k", "precip_cum_mm"], t.H))
+    w = t.dense_weather(s, d).select("site", "point", "ts", "temp_k", "precip_cum_mm")
+    return rounded(sq.weather_lag_block(w, t.POINTS, ["temp_k", "precip_cum_mm"], t.H), 8)
 
 
 SEQ = 24
@@ -92,17 +90,17 @@ def _array_facts(df):
 
 
 def w35(s, d):
-    return rounded(_array_facts(sq.sliding_sequences(t.dense_hourly(s, d), t.HOURLY, SEQ, t.H)), 3)
+    return rounded(_array_facts(sq.sliding_sequences(t.dense_hourly(s, d), t.HOURLY, SEQ, t.H)))
 
 
 def w36(s, d):
     df = sq.last_window(t.dense_hourly(s, d), t.HOURLY, SEQ, t.H)
     total = F.aggregate(F.flatten("x"), F.lit(0.0), lambda a, v: a + v.cast("double"))
-    return rounded(df.select("site", F.size("x").cast("long").alias("steps"), total.alias("x_sum"), F.col("x")[SEQ - 1][0].cast("double").alias("last_known")), 3)
+    return rounded(df.select("site", F.size("x").cast("long").alias("steps"), total.alias("x_sum"), F.col("x")[SEQ - 1][0].cast("double").alias("last_known")))
 
 
 def w37(s, d):
-    dims = wx.weather_base(dense_weather(s, d), t.basins(s, d), t.POINTS).where("_core")
+    dims = wx.weather_base(t.dense_weather(s, d), t.basins(s, d), t.POINTS).where("_core")
     one = dims.groupBy("site", "point").agg(F.first("distance_km").alias("distance_km"), F.first("windows").alias("windows"), F.first("transfer_h").alias("transfer_h"))
     return rounded(one.withColumn("windows", F.array_join("windows", ",")))
 
@@ -115,12 +113,12 @@ def j02(s, d):
 
 
 def j03(s, d):
-    base = wx.weather_base(dense_weather(s, d), t.basins(s, d), t.POINTS)
+    base = wx.weather_base(t.dense_weather(s, d), t.basins(s, d), t.POINTS)
     daily = t.POINTS.core(base).groupBy("site", "point", F.date_trunc("day", "ts").alias("ts"))
     return rounded(daily.agg(F.sum("melt").alias("melt"), F.max("snow_stock").alias("stock_max"), F.sum("snow").alias("snow")))
 
 
-_W = {
+_LOCAL = {
     "w15_decumulate_precip": ["precip"],
     "w16_rain_snow_partition": ["temp", "rain", "snow", "ground_rain"],
     "w17_snow_stock_melt": ["snow_stock", "melt", "melt_potential"],
@@ -131,15 +129,18 @@ _W = {
     "w21_antecedent_index": ["antecedent_rain"],
     "w22_water_deficit": ["deficit_7d", "deficit_30d"],
     "w23_rain_intensity": ["rain_1h", "rain_3h", "rain_shock"],
+    "w31_melt_ratio": ["melt_ratio"],
+}
+_TRAVELLED = {
     "w25_transfer_shift": ["transfer_h", "inflow_shifted"],
     "w26_theoretical_discharge": ["discharge", "discharge_gradient_1h", "discharge_gradient_3h", "discharge_accel_6h",
                                   "inflow_acceleration", "hydraulic_shock"],
     "w27_windowed_inflow": [f"{n}_{h}h" for h in HOURS for n in ("inflow_sum", "inflow_mean", "discharge", "inflow_lag")],
     "w28_reserves_ewm": ["reserve_flash", "reserve_short", "reserve_medium", "reserve_base", "ratio_fast_base"],
-    "w29_saturation_index": ["saturation", "saturation_diff_168", "saturation_diff_48", "saturation_diff_24", "saturation_diff_6"],
     "w30_reactivity": ["reactivity_12h", "discharge_mean_6h", "discharge_mean_24h", "discharge_mean_7d", "discharge_mean_30d", "surge_relative"],
-    "w31_melt_ratio": ["melt_ratio"],
 }
+# Means of powers of two end in a 5; one place more keeps both engines off the tie.
+_DIGITS = {"w19_temp_smooth": 10}
 _LAG24 = ["precip_lag_6", "temp_lag_6", "precip_sum_6", "precip_lag_24", "temp_lag_24", "precip_sum_24"]
 _F = {
     "w02_rolling_q95_cap": ["q95_year"],
@@ -162,9 +163,10 @@ _U = {
 QUERIES = {
     **{k: _flow(c) for k, c in _F.items()},
     **{k: _upstream(c) for k, c in _U.items()},
-    **{k: _weather(c) for k, c in _W.items()},
-    "w24_weather_lags": _weather(_LAG24, (6, 24)),
-    "w32_trend_slope_72h": w32, "w33_lead_matrix": w33, "w34_weather_lag_block": w34, "w35_sliding_sequences": w35,
+    **{k: _weather(c, digits=_DIGITS.get(k, 6), part=wx.local_features) for k, c in _LOCAL.items()},
+    **{k: _weather(c) for k, c in _TRAVELLED.items()},
+    "w24_weather_lags": _weather(_LAG24, (6, 24), 8, wx.local_features),
+    "w29_saturation_index": w29, "w32_trend_slope_72h": w32, "w33_lead_matrix": w33, "w34_weather_lag_block": w34, "w35_sliding_sequences": w35,
     "w36_last_window": w36, "w37_windows_for_distance": w37, "d17_basin_mean_inflow": d17, "d20_ref_year_mean_temp": d20,
     "j02_ewm_mean": j02, "j03_snow_scan": j03,
 }
@@ -233,8 +235,9 @@ _TEMP = {
     "deficit": "SELECT *, CASE WHEN et0 - ground_rain < 0 THEN 0.0 ELSE et0 - ground_rain END AS missing FROM net",
 }
 _SEQ_ROWS = {
-    "feat": """SELECT site, ts, row_number() OVER (PARTITION BY site ORDER BY ts) AS rn, ln(1 + CASE WHEN flow < 0 THEN 0 ELSE flow END) AS f,
-       sin(2 * pi() * hour(ts) / 24) + cos(2 * pi() * hour(ts) / 24) + sin(2 * pi() * dayofyear(ts) / 365) + cos(2 * pi() * dayofyear(ts) / 365) AS clock FROM dense""",
+    "feat": """SELECT site, ts, row_number() OVER (PARTITION BY site ORDER BY ts) AS rn, ln(1 + CASE WHEN flow < 0 THEN 0 ELSE flow END) AS y,
+       y::FLOAT::DOUBLE AS f, sin(2 * pi() * hour(ts) / 24)::FLOAT::DOUBLE + cos(2 * pi() * hour(ts) / 24)::FLOAT::DOUBLE
+       + sin(2 * pi() * dayofyear(ts) / 365)::FLOAT::DOUBLE + cos(2 * pi() * dayofyear(ts) / 365)::FLOAT::DOUBLE AS clock FROM dense""",
 }
 
 ORACLE = {
@@ -261,10 +264,10 @@ ORACLE = {
     "w13_upstream_gradients": _up_sql({f"upstream_gradient_{h}h": "upstream - lag(upstream, 1) OVER w" for h in (6, 24)}),
     "w14_upstream_ratio": _up_sql({"upstream_ratio": "upstream / (lag_flow + 1e-6)"}),
     "w15_decumulate_precip": _weather_sql({"precip": "precip"}, "wr"),
-    "w16_rain_snow_partition": _weather_sql({c: c for c in _W["w16_rain_snow_partition"]}, "melt_in"),
-    "w17_snow_stock_melt": _weather_sql({c: c for c in _W["w17_snow_stock_melt"]}, "runoff"),
-    "w18_net_inflow": _weather_sql({c: c for c in _W["w18_net_inflow"]}, "net"),
-    "w19_temp_smooth": _weather_sql({"temp_48h": "temp_48h", "temp_24h": "temp_24h", "temp_diff6_48h": _d("temp_48h", 6), "temp_diff6_24h": _d("temp_24h", 6)}, "net"),
+    "w16_rain_snow_partition": _weather_sql({c: c for c in _LOCAL["w16_rain_snow_partition"]}, "melt_in"),
+    "w17_snow_stock_melt": _weather_sql({c: c for c in _LOCAL["w17_snow_stock_melt"]}, "runoff"),
+    "w18_net_inflow": _weather_sql({c: c for c in _LOCAL["w18_net_inflow"]}, "net"),
+    "w19_temp_smooth": _weather_sql({"temp_48h": "temp_48h", "temp_24h": "temp_24h", "temp_diff6_48h": _d("temp_48h", 6), "temp_diff6_24h": _d("temp_24h", 6)}, "net", digits=10),
     "w20_high_altitude_block": _weather_sql(
         {"frost_factor": "frost_factor", "log_snow_stock": "CASE WHEN high THEN ln(1 + snow_stock) END",
          "cooling_6h": "CASE WHEN high THEN CASE WHEN c6 > 0 THEN 0 ELSE c6 END END", "warming_6h": "CASE WHEN high THEN CASE WHEN c6 < 0 THEN 0 ELSE c6 END END",
@@ -279,7 +282,7 @@ ORACLE = {
     "w22_water_deficit": _weather_sql({"deficit_7d": _win(168, "sum", "missing", 1), "deficit_30d": _win(720, "sum", "missing", 1)}, "net", extra=_TEMP, frm="deficit"),
     "w23_rain_intensity": _weather_sql({"rain_1h": "precip", "rain_3h": _win(3, "sum", "precip"), "rain_shock": f"precip / ({_win(24, 'avg', 'precip')} + 0.1)"}, "wr"),
     "w24_weather_lags": _weather_sql(
-        {c: e for n in (6, 24) for c, e in ((f"precip_lag_{n}", _lag("precip", n)), (f"temp_lag_{n}", _lag("temp_k", n)), (f"precip_sum_{n}", _win(n, "sum", "precip")))}, "wr"),
+        {c: e for n in (6, 24) for c, e in ((f"precip_lag_{n}", _lag("precip", n)), (f"temp_lag_{n}", _lag("temp_k", n)), (f"precip_sum_{n}", _win(n, "sum", "precip")))}, "wr", digits=8),
     "w25_transfer_shift": _weather_sql({"inflow_shifted": "inflow_shifted"}, "arrived", plain=("transfer_h",)),
     "w26_theoretical_discharge": _weather_sql(
         {"discharge": "discharge", "discharge_gradient_1h": _d("discharge", 1), "discharge_gradient_3h": "g3", "discharge_accel_6h": _d("g3", 3),
@@ -308,16 +311,16 @@ ORACLE = {
             WINDOW w AS (PARTITION BY site ORDER BY ts)""", "dense").replace(
         "round(lead(", "round(CASE WHEN inside THEN lead(").replace(") OVER w, 6)", ") OVER w END, 6)"),
     "w34_weather_lag_block": q(
-        f"""SELECT site, point, ts, {same(6, 'temp_k', 'precip_cum_mm')}, {rr(temp_k_lag='coalesce(lag(temp_k, 8) OVER w, 0)', precip_cum_mm_lag='coalesce(lag(precip_cum_mm, 8) OVER w, 0)')}
+        f"""SELECT site, point, ts, {same(8, 'temp_k', 'precip_cum_mm')}, {rr(8, temp_k_lag='coalesce(lag(temp_k, 8) OVER w, 0)', precip_cum_mm_lag='coalesce(lag(precip_cum_mm, 8) OVER w, 0)')}
             FROM weather WINDOW w AS (PARTITION BY site, point ORDER BY ts)""", "weather"),
     "w35_sliding_sequences": q(
-        f"""SELECT site, ts, 32::BIGINT AS steps, 6::BIGINT AS inputs, {rr(3, x_sum='hist + clock + 8', last_known='f', blanked='0.0::DOUBLE', y_last='y_last')} FROM (
-              SELECT *, count(f) OVER w AS n, sum(f) OVER h AS hist, lead(f, 8) OVER o AS y_last, sum(clock) OVER w AS clock, count(*) OVER w AS total
+        f"""SELECT site, ts, 32::BIGINT AS steps, 6::BIGINT AS inputs, {rr(x_sum='hist + clocks + 8', last_known='f', blanked='0.0::DOUBLE', y_last='y_last')} FROM (
+              SELECT *, count(f) OVER w AS n, sum(f) OVER h AS hist, lead(y, 8) OVER o AS y_last, sum(clock) OVER w AS clocks, count(*) OVER w AS total
               FROM (SELECT * FROM feat) WINDOW o AS (PARTITION BY site ORDER BY rn), h AS (PARTITION BY site ORDER BY rn ROWS 23 PRECEDING),
                    w AS (PARTITION BY site ORDER BY rn ROWS BETWEEN 23 PRECEDING AND 8 FOLLOWING))
             WHERE n = 32 AND total = 32""", "dense", extra=_SEQ_ROWS),
     "w36_last_window": q(
-        f"""SELECT site, 32::BIGINT AS steps, {rr(3, x_sum='sum(CASE WHEN back > 8 THEN coalesce(f, 0) ELSE 0 END) + sum(clock) + 8', last_known='coalesce(max(f) FILTER (WHERE back = 9), 0)')}
+        f"""SELECT site, 32::BIGINT AS steps, {rr(x_sum='sum(CASE WHEN back > 8 THEN coalesce(f, 0) ELSE 0 END) + sum(clock) + 8', last_known='coalesce(max(f) FILTER (WHERE back = 9), 0)')}
             FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY rn DESC) AS back FROM feat) WHERE back <= 32 GROUP BY site""", "dense", extra=_SEQ_ROWS),
     "w37_windows_for_distance": q(
         f"SELECT DISTINCT site, point, {rr(distance_km='distance_km')}, array_to_string(windows, ',') AS windows, transfer_h FROM wb", "wb"),

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from rivermill.functions.blocks import Axis, densify
 from rivermill.operators.prepare import hourly_mean
+from rivermill.operators.weather import normalise_weather
+from rivermill.session import materialise
 
 HOURLY = Axis(("site",), 3600)
 DAILY = Axis(("site",), 86_400)
@@ -61,13 +63,13 @@ def nation_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return densify(hourly_mean(nation_orders(spark, sf_dir), DAILY), DAILY)
+    """Prepared once as a table, like every series the feature operators read more than once."""
+    return materialise(densify(hourly_mean(nation_orders(spark, sf_dir), DAILY), DAILY), "daily")
 
 
 def daily_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return densify(
-        hourly_mean(nation_orders(spark, sf_dir), STATIONS_DAILY), STATIONS_DAILY
-    ).withColumnRenamed("flow", "upstream")
+    means = hourly_mean(nation_orders(spark, sf_dir), STATIONS_DAILY)
+    return materialise(densify(means, STATIONS_DAILY).withColumnRenamed("flow", "upstream"), "upstream")
 
 
 def transit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +113,10 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dense_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(densify(normalise_weather(weather_raw(spark, sf_dir), POINTS), POINTS), "weather")
+
+
 def basins(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.length("site")
     return (
@@ -195,3 +201,32 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivermill.operators.evaluate import naive_forecasts
 
     return naive_forecasts(dense_hourly(spark, sf_dir), HOURLY, H)
+
+
+def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plant record of each event site, picked from the registry by a key made of the site name."""
+    key = basins(spark, sf_dir).select("site", (F.length("site") * 3).cast("long").alias("site_order"))
+    return key.join(registry(spark, sf_dir).drop("site"), "site_order").drop("site_order")
+
+
+def plant_transit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours from the gauging station to the turbine."""
+    return basins(spark, sf_dir).select("site", F.lit("winter").alias("season"), (F.length("site") / 2).alias("hours"))
+
+
+def stored_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Next H hours per site from its last observation: flat, day mean, and their middle."""
+    from rivermill.operators.prepare import last_observed, tail_rows
+
+    dense = dense_hourly(spark, sf_dir)
+    last = last_observed(dense)
+    mean = tail_rows(dense, 24).groupBy("site").agg(F.avg("flow").alias("q_sequence"))
+    lead = F.explode(F.sequence(F.lit(1), F.lit(H)))
+    rows = last.join(mean, "site").withColumn("lead", lead)
+    return rows.select(
+        "site",
+        (F.col("last_ts") + F.make_interval(hours=F.col("lead"))).alias("ts"),
+        F.col("last_flow").alias("q_tree"),
+        "q_sequence",
+        ((F.col("last_flow") + F.col("q_sequence")) / 2).alias("q_stacked"),
+    )
