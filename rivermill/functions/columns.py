@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,9 +29,6 @@ SEASONS = {
 }
 SEASON_CODES = {"DJF": "winter", "MAM": "spring", "JJA": "summer", "SON": "autumn"}
 
-# Accented letters folded to plain ones in keys.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 # Letters replaced in metric keys.
 SLUG_FROM = "àâäéèêëîïôöùûüç "
 SLUG_TO = "aaaeeeeiioouuuc_"
@@ -140,9 +139,30 @@ def parse_utc(text: Column) -> Column:
     )
 
 
+@lru_cache(maxsize=1)
+def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
+    """Characters with a plain ASCII form under compatibility decomposition: one letter, or several."""
+    single, several = {}, {}
+    for code in range(0x80, 0x10000):
+        ch = chr(code).lower()
+        plain = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode().lower()
+        if len(ch) == 1 and plain:
+            (single if len(plain) == 1 else several)[ch] = plain
+    # Ligatures, fractions and letter-like signs; wider symbols (units, enclosed numbers) are rare in names.
+    several = {c: p for c, p in several.items() if ord(c) < 0x2190 or 0xFB00 <= ord(c) <= 0xFB06}
+    return single, several
+
+
 def fold_text(text: Column) -> Column:
     """Lower case without accents; what has no plain letter is dropped."""
-    return F.regexp_replace(F.translate(F.lower(text), ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
+    single, several = _plain_letters()
+    low = F.lower(text)
+    wide = low
+    for ch, plain in several.items():
+        wide = F.replace(wide, F.lit(ch), F.lit(plain))
+    low = F.when(low.rlike("[" + "".join(several) + "]"), wide).otherwise(low)
+    low = F.translate(low, "".join(single), "".join(single.values()))
+    return F.regexp_replace(low, r"[^\x00-\x7F]", "")
 
 
 def slug(text: Column) -> Column:

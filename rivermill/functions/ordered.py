@@ -15,13 +15,16 @@ def value_buckets(counts: DataFrame, keys: list[str], value: str, sums: list[str
     `counts` holds one row per (keys, value). The cut points come from a mergeable sketch, so they only
     balance the buckets; the totals are exact.
     """
-    at = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    at = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, at, F.lit(10_000)).alias("_cuts"))
-    placed = (
-        counts.join(cuts, keys)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value))))
-        .drop("_cuts")
+    # Number of cut points below the value, by bisection (`buckets` is a power of two).
+    halves = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
+    bucket = F.aggregate(
+        halves,
+        F.lit(0),
+        lambda n, half: F.when(F.get("_cuts", n + half - 1) < F.col(value), n + half).otherwise(n),
     )
+    placed = counts.join(cuts, keys).withColumn("_bucket", bucket).drop("_cuts")
     totals = placed.groupBy(*keys, "_bucket").agg(
         F.min(value).alias("_min"), *[F.sum(s).alias(f"_t_{s}") for s in sums]
     )

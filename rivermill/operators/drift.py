@@ -22,10 +22,12 @@ def unpivot_columns(df: DataFrame, keys: list[str], columns: list[str]) -> DataF
 def ks_p_value(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sided Kolmogorov-Smirnov p-value; 1 for a distance of 0."""
     lam = F.sqrt(n * m / (n + m)) * d
-    terms = [
-        F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam) for k in range(1, KS_TERMS + 1)
-    ]
-    series = F.aggregate(F.array(*terms), F.lit(0.0), lambda a, t: a + t)
+
+    def add(acc: Column, k: Column) -> Column:
+        sign = F.when(k % 2 == 1, 2.0).otherwise(-2.0)
+        return acc + sign * F.exp(-2.0 * k * k * lam * lam)
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0), add)
     return F.when(lam < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
@@ -39,7 +41,7 @@ def two_sample(long: DataFrame, keys: list[str]) -> DataFrame:
         F.sum(ref.cast("long")).alias("a"), F.sum((~ref).cast("long")).alias("b")
     )
     ranked = running_by_value(value_buckets(counts, keys, "value", ["a", "b"]), keys, "value", ["a", "b"])
-    gap = F.abs(F.col("cum_a") / F.col("_all_a") - F.col("cum_b") / F.col("_all_b"))
+    gap = F.abs(F.try_divide("cum_a", "_all_a") - F.try_divide("cum_b", "_all_b"))
     spread = (
         long.where(ref).groupBy(*keys).agg(F.greatest(F.stddev_pop("value"), F.lit(0.001)).alias("_spread"))
     )

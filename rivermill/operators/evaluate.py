@@ -26,6 +26,7 @@ def kge_parts(y: Column, p: Column, over: WindowSpec | None = None) -> dict[str,
         return agg if over is None else agg.over(over)
 
     r = on(F.corr(p, y))
+    r = F.when(~F.isnan(r), r)
     alpha = on(F.stddev_pop(p)) / (on(F.stddev_pop(y)) + EPS)
     beta = on(F.avg(p)) / (on(F.avg(y)) + EPS)
     score = 1 - F.sqrt(F.pow(r - 1, 2) + F.pow(alpha - 1, 2) + F.pow(beta - 1, 2))
@@ -42,7 +43,7 @@ def kge_loss(y: Column, p: Column) -> Column:
     n, sy, sp = F.count(y), F.stddev_pop(y), F.stddev_pop(p)
     beta = F.avg(p) / (F.avg(y) + EPS)
     r = F.coalesce(F.when(~F.isnan(F.corr(p, y)), F.corr(p, y)), F.lit(0.0))
-    full = F.sqrt(F.pow(r - 1, 2) + F.pow(sp / sy - 1, 2) + F.pow(beta - 1, 2))
+    full = F.sqrt(F.pow(r - 1, 2) + F.pow(F.try_divide(sp, sy) - 1, 2) + F.pow(beta - 1, 2))
     flat = (sy < EPS) | (sp < EPS)
     return F.when(n < 2, 2.0).when(flat, 1 + F.abs(beta - 1)).otherwise(full)
 
@@ -153,19 +154,15 @@ def flow_quantiles(df: DataFrame, value: str = "flow", keys: tuple[str, ...] = (
     """q90, q99 and the start of the weighting zone, whose percentile follows the extreme ratio of the reference."""
     keys = list(keys)
     probs = {"_p15": 0.15, "_p25": 0.25, "_p50": 0.50, "q33": 0.33, "q90": 0.90, "q99": 0.99}
-    own = exact_quantiles(df, keys, value, probs)
     if reference is None:
-        ref = own.select(*keys, F.col("q99").alias("_ref99"))
-        tops = df
+        limits = exact_quantiles(df, keys, value, {**probs, "_peak": 1.0}).withColumn("_ref99", F.col("q99"))
     else:
-        ref = exact_quantiles(reference, keys, value, {"_ref99": 0.99})
-        tops = reference
-    peak = tops.groupBy(*keys).agg(F.max(value).alias("_peak"))
+        extremes = exact_quantiles(reference, keys, value, {"_ref99": 0.99, "_peak": 1.0})
+        limits = exact_quantiles(df, keys, value, probs).join(extremes, keys)
     ratio = F.col("_peak") / (F.col("_ref99") + EPS)
     pct = F.when(ratio > 3, 15).when(ratio > 2, 25).otherwise(50)
     start = F.when(ratio > 3, F.col("_p15")).when(ratio > 2, F.col("_p25")).otherwise(F.col("_p50"))
-    joined = own.join(ref, keys).join(peak, keys)
-    return joined.select(*keys, pct.alias("start_pct"), start.alias("q_start"), "q33", "q90", "q99")
+    return limits.select(*keys, pct.alias("start_pct"), start.alias("q_start"), "q33", "q90", "q99")
 
 
 def flow_weights(df: DataFrame, value: str = "flow", strength: float = 4.0, keys: tuple[str, ...] = ("site",)) -> DataFrame:
@@ -224,7 +221,7 @@ def flood_quality(scored: DataFrame, lead: int) -> DataFrame:
         .agg(
             F.count(y).alias("n"),
             kge(y, p).alias("kge"),
-            ((F.avg(p) - F.avg(y)) / F.avg(y) * 100).alias("bias_pct"),
+            (F.try_divide(F.avg(p) - F.avg(y), F.avg(y)) * 100).alias("bias_pct"),
             (F.avg((p > y).cast("double")) * 100).alias("over_pct"),
             (F.avg((p < y).cast("double")) * 100).alias("under_pct"),
         )

@@ -140,7 +140,7 @@ _TRAVELLED = {
     "w30_reactivity": ["reactivity_12h", "discharge_mean_6h", "discharge_mean_24h", "discharge_mean_7d", "discharge_mean_30d", "surge_relative"],
 }
 # Means of powers of two end in a 5; one place more keeps both engines off the tie.
-_DIGITS = {"w19_temp_smooth": 10}
+_DIGITS = {"w19_temp_smooth": 12}
 _LAG24 = ["precip_lag_6", "temp_lag_6", "precip_sum_6", "precip_lag_24", "temp_lag_24", "precip_sum_24"]
 _F = {
     "w02_rolling_q95_cap": ["q95_year"],
@@ -267,7 +267,7 @@ ORACLE = {
     "w16_rain_snow_partition": _weather_sql({c: c for c in _LOCAL["w16_rain_snow_partition"]}, "melt_in"),
     "w17_snow_stock_melt": _weather_sql({c: c for c in _LOCAL["w17_snow_stock_melt"]}, "runoff"),
     "w18_net_inflow": _weather_sql({c: c for c in _LOCAL["w18_net_inflow"]}, "net"),
-    "w19_temp_smooth": _weather_sql({"temp_48h": "temp_48h", "temp_24h": "temp_24h", "temp_diff6_48h": _d("temp_48h", 6), "temp_diff6_24h": _d("temp_24h", 6)}, "net", digits=10),
+    "w19_temp_smooth": _weather_sql({"temp_48h": "temp_48h", "temp_24h": "temp_24h", "temp_diff6_48h": _d("temp_48h", 6), "temp_diff6_24h": _d("temp_24h", 6)}, "net", digits=12),
     "w20_high_altitude_block": _weather_sql(
         {"frost_factor": "frost_factor", "log_snow_stock": "CASE WHEN high THEN ln(1 + snow_stock) END",
          "cooling_6h": "CASE WHEN high THEN CASE WHEN c6 > 0 THEN 0 ELSE c6 END END", "warming_6h": "CASE WHEN high THEN CASE WHEN c6 < 0 THEN 0 ELSE c6 END END",

@@ -197,10 +197,10 @@ def inflow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two naive forecasts per lead 1..H against the observed flow, long form."""
+    """Two naive forecasts per lead 1..H against the observed flow, long form, written out once."""
     from rivermill.operators.evaluate import naive_forecasts
 
-    return naive_forecasts(dense_hourly(spark, sf_dir), HOURLY, H)
+    return materialise(naive_forecasts(dense_hourly(spark, sf_dir), HOURLY, H), "scored")
 
 
 def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
