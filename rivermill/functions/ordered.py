@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 256
@@ -62,23 +62,22 @@ def exact_quantiles(
     counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     placed = value_buckets(counts, keys, value, ["n"], buckets)
 
-    def rank(p: float) -> Column:
-        return (F.col("_all_n") - 1) * F.lit(float(p))
+    def rank(p: float, end: str = "_all_n") -> str:
+        return f"(({end} - 1) * {float(p)!r}D)"
 
-    first, last = F.col("_before_n"), F.col("_before_n") + F.col("_here_n")
-    wanted = F.lit(False)
-    for p in probs.values():
-        for k in (F.floor(rank(p)), F.ceil(rank(p))):
-            wanted = wanted | ((k >= first) & (k < last))
-    ranked = running_by_value(placed.where(wanted), keys, value, ["n"])
+    def inside(k: str) -> str:
+        return f"({k} >= _before_n AND {k} < _before_n + _here_n)"
 
-    def at(k: Column) -> Column:
-        return F.max(F.when((k >= F.col("cum_n") - F.col("n")) & (k < F.col("cum_n")), F.col(value)))
+    wanted = " OR ".join(inside(f"{f}({rank(p)})") for p in probs.values() for f in ("floor", "ceil"))
+    ranked = running_by_value(placed.where(wanted), keys, value, ["n"]).withColumn("_v", F.col(value))
 
-    picks, result = [F.max("_all_n").alias("_total")], []
+    def at(k: str, name: str) -> str:
+        return f"max(CASE WHEN {k} >= cum_n - n AND {k} < cum_n THEN _v END) AS {name}"
+
+    picks = ["max(_all_n) AS _total"]
+    result = []
     for i, (name, p) in enumerate(probs.items()):
-        picks += [at(F.floor(rank(p))).alias(f"_lo{i}"), at(F.ceil(rank(p))).alias(f"_hi{i}")]
-        h = (F.col("_total") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        result.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return ranked.groupBy(*keys).agg(*picks).select(*keys, *result)
+        picks += [at(f"floor({rank(p)})", f"_lo{i}"), at(f"ceil({rank(p)})", f"_hi{i}")]
+        h = rank(p, "_total")
+        result.append(f"_lo{i} + (_hi{i} - _lo{i}) * ({h} - floor({h})) AS {name}")
+    return ranked.groupBy(*keys).agg(*[F.expr(x) for x in picks]).selectExpr(*keys, *result)

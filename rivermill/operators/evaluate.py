@@ -13,6 +13,11 @@ from rivermill.functions.ordered import exact_quantiles
 MIN_PAIRS = 10
 
 
+def correlation(y: Column, p: Column, on=lambda agg: agg) -> Column:
+    """Pearson correlation; NULL without spread (the built-in fails there in ANSI mode)."""
+    return F.try_divide(on(F.covar_pop(y, p)), on(F.stddev_pop(y)) * on(F.stddev_pop(p)))
+
+
 def _pair(y: Column, p: Column) -> tuple[Column, Column]:
     both = y.isNotNull() & p.isNotNull()
     return F.when(both, y), F.when(both, p)
@@ -25,8 +30,7 @@ def kge_parts(y: Column, p: Column, over: WindowSpec | None = None) -> dict[str,
     def on(agg: Column) -> Column:
         return agg if over is None else agg.over(over)
 
-    r = on(F.corr(p, y))
-    r = F.when(~F.isnan(r), r)
+    r = correlation(y, p, on)
     alpha = on(F.stddev_pop(p)) / (on(F.stddev_pop(y)) + EPS)
     beta = on(F.avg(p)) / (on(F.avg(y)) + EPS)
     score = 1 - F.sqrt(F.pow(r - 1, 2) + F.pow(alpha - 1, 2) + F.pow(beta - 1, 2))
@@ -42,7 +46,7 @@ def kge_loss(y: Column, p: Column) -> Column:
     y, p = _pair(y, p)
     n, sy, sp = F.count(y), F.stddev_pop(y), F.stddev_pop(p)
     beta = F.avg(p) / (F.avg(y) + EPS)
-    r = F.coalesce(F.when(~F.isnan(F.corr(p, y)), F.corr(p, y)), F.lit(0.0))
+    r = F.coalesce(correlation(y, p), F.lit(0.0))
     full = F.sqrt(F.pow(r - 1, 2) + F.pow(F.try_divide(sp, sy) - 1, 2) + F.pow(beta - 1, 2))
     flat = (sy < EPS) | (sp < EPS)
     return F.when(n < 2, 2.0).when(flat, 1 + F.abs(beta - 1)).otherwise(full)

@@ -119,7 +119,7 @@ def turbine_time(df: DataFrame, transit: DataFrame, step_hours: int = 1) -> Data
     shifted = transit_hours(df, transit, 0.0)
     hours = F.bround("hours").cast("int")
     return shifted.select(
-        *[c for c in df.columns if c not in ("ts", "flow", "flow_factor")],
+        *[c for c in df.columns if c not in ("ts", "flow", "flow_factor", "season", "hours")],
         (F.col("ts") + F.make_interval(hours=hours)).alias("turbine_ts"),
         (F.col("flow") * F.coalesce("flow_factor", F.lit(1.0))).alias("turbine_flow"),
     )

@@ -17,9 +17,10 @@ def transit_table(watersheds: DataFrame) -> DataFrame:
 
 def transit_hours(df: DataFrame, transit: DataFrame, default: float) -> DataFrame:
     """Adds `hours` for the season of each row; a missing season or station gets `default`."""
+    keys = [k for k in ("site", "station", "season") if k in transit.columns]
     return (
         df.withColumn("season", season(F.col("ts")))
-        .join(transit, ["site", "station", "season"], "left")
+        .join(transit, keys, "left")
         .withColumn("hours", F.coalesce("hours", F.lit(float(default))))
     )
 

@@ -28,10 +28,11 @@ def _flow(columns):
     return run
 
 
-def _weather(columns, lags=(), digits=6, part=wx.weather_features):
+def _weather(columns, lags=(), part=wx.weather_features):
     def run(s, d):
         feats = part(t.dense_weather(s, d), t.basins(s, d), t.POINTS, lags)
-        return rounded(feats.select("site", "point", "ts", *columns), digits)
+        # Half of the temperature means end in a 5 at the sixth place; nine keep both engines off the tie.
+        return rounded(feats.select("site", "point", "ts", *columns), 9 if "temp_48h" in columns else 6)
 
     return run
 
@@ -139,8 +140,6 @@ _TRAVELLED = {
     "w28_reserves_ewm": ["reserve_flash", "reserve_short", "reserve_medium", "reserve_base", "ratio_fast_base"],
     "w30_reactivity": ["reactivity_12h", "discharge_mean_6h", "discharge_mean_24h", "discharge_mean_7d", "discharge_mean_30d", "surge_relative"],
 }
-# Means of powers of two end in a 5; one place more keeps both engines off the tie.
-_DIGITS = {"w19_temp_smooth": 12}
 _LAG24 = ["precip_lag_6", "temp_lag_6", "precip_sum_6", "precip_lag_24", "temp_lag_24", "precip_sum_24"]
 _F = {
     "w02_rolling_q95_cap": ["q95_year"],
@@ -163,9 +162,9 @@ _U = {
 QUERIES = {
     **{k: _flow(c) for k, c in _F.items()},
     **{k: _upstream(c) for k, c in _U.items()},
-    **{k: _weather(c, digits=_DIGITS.get(k, 6), part=wx.local_features) for k, c in _LOCAL.items()},
+    **{k: _weather(c, part=wx.local_features) for k, c in _LOCAL.items()},
     **{k: _weather(c) for k, c in _TRAVELLED.items()},
-    "w24_weather_lags": _weather(_LAG24, (6, 24), 8, wx.local_features),
+    "w24_weather_lags": _weather(_LAG24, (6, 24), wx.local_features),
     "w29_saturation_index": w29, "w32_trend_slope_72h": w32, "w33_lead_matrix": w33, "w34_weather_lag_block": w34, "w35_sliding_sequences": w35,
     "w36_last_window": w36, "w37_windows_for_distance": w37, "d17_basin_mean_inflow": d17, "d20_ref_year_mean_temp": d20,
     "j02_ewm_mean": j02, "j03_snow_scan": j03,
@@ -267,7 +266,7 @@ ORACLE = {
     "w16_rain_snow_partition": _weather_sql({c: c for c in _LOCAL["w16_rain_snow_partition"]}, "melt_in"),
     "w17_snow_stock_melt": _weather_sql({c: c for c in _LOCAL["w17_snow_stock_melt"]}, "runoff"),
     "w18_net_inflow": _weather_sql({c: c for c in _LOCAL["w18_net_inflow"]}, "net"),
-    "w19_temp_smooth": _weather_sql({"temp_48h": "temp_48h", "temp_24h": "temp_24h", "temp_diff6_48h": _d("temp_48h", 6), "temp_diff6_24h": _d("temp_24h", 6)}, "net", digits=12),
+    "w19_temp_smooth": _weather_sql({"temp_48h": "temp_48h", "temp_24h": "temp_24h", "temp_diff6_48h": _d("temp_48h", 6), "temp_diff6_24h": _d("temp_24h", 6)}, "net", digits=9),
     "w20_high_altitude_block": _weather_sql(
         {"frost_factor": "frost_factor", "log_snow_stock": "CASE WHEN high THEN ln(1 + snow_stock) END",
          "cooling_6h": "CASE WHEN high THEN CASE WHEN c6 > 0 THEN 0 ELSE c6 END END", "warming_6h": "CASE WHEN high THEN CASE WHEN c6 < 0 THEN 0 ELSE c6 END END",
@@ -282,7 +281,7 @@ ORACLE = {
     "w22_water_deficit": _weather_sql({"deficit_7d": _win(168, "sum", "missing", 1), "deficit_30d": _win(720, "sum", "missing", 1)}, "net", extra=_TEMP, frm="deficit"),
     "w23_rain_intensity": _weather_sql({"rain_1h": "precip", "rain_3h": _win(3, "sum", "precip"), "rain_shock": f"precip / ({_win(24, 'avg', 'precip')} + 0.1)"}, "wr"),
     "w24_weather_lags": _weather_sql(
-        {c: e for n in (6, 24) for c, e in ((f"precip_lag_{n}", _lag("precip", n)), (f"temp_lag_{n}", _lag("temp_k", n)), (f"precip_sum_{n}", _win(n, "sum", "precip")))}, "wr", digits=8),
+        {c: e for n in (6, 24) for c, e in ((f"precip_lag_{n}", _lag("precip", n)), (f"temp_lag_{n}", _lag("temp_k", n)), (f"precip_sum_{n}", _win(n, "sum", "precip")))}, "wr"),
     "w25_transfer_shift": _weather_sql({"inflow_shifted": "inflow_shifted"}, "arrived", plain=("transfer_h",)),
     "w26_theoretical_discharge": _weather_sql(
         {"discharge": "discharge", "discharge_gradient_1h": _d("discharge", 1), "discharge_gradient_3h": "g3", "discharge_accel_6h": _d("g3", 3),

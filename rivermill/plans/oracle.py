@@ -48,7 +48,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "weather_raw": (
         ("readings",),
-        """SELECT site, point, date_trunc('hour', ts) AS ts, avg(flow) / 8 - 4 AS temp_c,
+        """SELECT site, point, date_trunc('hour', ts) AS ts, avg(flow) / 7 - 4 AS temp_c,
                   CASE WHEN avg(flow) > 45 THEN (avg(flow) - 45) / 10 ELSE 0.0 END AS precip_mm,
                   43.0::DOUBLE + point * point * 0.2::DOUBLE AS lat, 0.5::DOUBLE + point * 0.4::DOUBLE AS lon,
                   200.0::DOUBLE + point * 300.0::DOUBLE AS alt

@@ -84,9 +84,10 @@ def h16(s, d):
 
 
 def h19(s, d):
-    rows = ev.score_by_season(t.scored(s, d), t.H).withColumns({"kind": F.lit("season"), "slice": F.col("season")})
+    scored = t.scored(s, d)
+    rows = ev.score_by_season(scored, t.H).withColumns({"kind": F.lit("season"), "slice": F.col("season")})
     rows = rows.select("site", "kind", "model", "slice", "kge").unionByName(
-        ev.score_by_regime(t.scored(s, d), t.H).select("site", F.lit("regime").alias("kind"), "model", F.col("regime").alias("slice"), "kge")
+        ev.score_by_regime(scored, t.H).select("site", F.lit("regime").alias("kind"), "model", F.col("regime").alias("slice"), "kge")
     )
     per_model = rows.groupBy("site", "kind", "model").agg(
         F.map_from_entries(F.collect_list(F.struct("slice", "kge"))).alias("slices")

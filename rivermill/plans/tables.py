@@ -106,7 +106,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings(spark, sf_dir)
         .groupBy("site", "point", F.date_trunc("hour", "ts").alias("ts"))
         .agg(
-            (mean / 8 - 4).alias("temp_c"),
+            (mean / 7 - 4).alias("temp_c"),
             F.when(mean > 45, (mean - 45) / 10).otherwise(0.0).alias("precip_mm"),
         )
         .withColumns(point_place())

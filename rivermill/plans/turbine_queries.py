@@ -144,17 +144,16 @@ def f05(s, d):
 
 
 def g04(s, d):
-    table = _table(s, d)
-    return rounded(table)
+    return rounded(_forecast_rows(s, d))
 
 
-def _table(s, d):
+def _forecast_rows(s, d):
     factors = t.plants(s, d).select("site", "flow_factor")
     return fc.forecast_table(t.dense_hourly(s, d), t.stored_forecast(s, d), t.plant_transit(s, d), factors)
 
 
 def forecast_points(s, d):
-    points = fc.forecast_points(_table(s, d), t.plants(s, d), NOW)
+    points = fc.forecast_points(_forecast_rows(s, d), t.plants(s, d), NOW)
     return rounded(points.select("site", "ts", "lead_hours", "source", "flow", "usable", "reserved", "power", "power_max", "head", "efficiency"))
 
 
@@ -194,9 +193,6 @@ def _dispatch(start: str) -> dict[str, str]:
     }
 
 
-_G = {n: f"(SELECT * FROM ranked WHERE rank = {n})" for n in (1, 2, 3)}
-
-
 def _power(flow: str) -> str:
     """Sum over the three possible groups; head at total inflow, efficiency at the group's flow."""
     parts = []
@@ -233,6 +229,10 @@ _FORECAST = {
 _POINTS = """SELECT f.*, q_in AS flow, p.* EXCLUDE (site), f.site AS key_site FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY ts) - 1 AS lead_hours
    FROM fc WHERE ts >= TIMESTAMP '{now}') f JOIN plant p ON p.site = f.site"""
 
+_DISPATCH_POINTS = _dispatch(
+    f"SELECT * EXCLUDE (site), plant_site AS site, greatest(flow - reserve, 0) AS available, available AS rest_0 FROM (SELECT *, {_RESERVE} AS reserve FROM ({_POINTS.format(now=NOW)}))"
+)
+
 ORACLE = {
     "f05_order_groups": q(
         "SELECT site, min(priority)::INTEGER AS best_priority, string_agg(coalesce(name, '?'), ',' ORDER BY priority, i) AS \"order\" FROM groups GROUP BY site", "groups"),
@@ -248,7 +248,8 @@ ORACLE = {
         season_sin='sin(2 * pi() * (dayofyear(ts) - 172) / 365)', season_cos='cos(2 * pi() * (dayofyear(ts) - 172) / 365)')} FROM events""",
     "h06_season_of_month": f"SELECT {SEASON} AS season, count(*) AS n FROM (SELECT o_orderdate AS ts FROM orders) GROUP BY 1",
     "h07_paris_time": """SELECT o_orderkey, ts + CASE WHEN ts >= make_timestamp(year(ts), 3, 31 - (dayofweek(make_date(year(ts), 3, 31)))::INTEGER, 1, 0, 0)
-           AND ts < make_timestamp(year(ts), 10, 31 - (dayofweek(make_date(year(ts), 10, 31)))::INTEGER, 1, 0, 0) THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS local_ts
+           AND ts < CASE WHEN year(ts) < 1996 THEN make_timestamp(year(ts), 9, 30 - (dayofweek(make_date(year(ts), 9, 30)))::INTEGER, 1, 0, 0)
+                    ELSE make_timestamp(year(ts), 10, 31 - (dayofweek(make_date(year(ts), 10, 31)))::INTEGER, 1, 0, 0) END THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS local_ts
         FROM (SELECT o_orderkey, o_orderdate + to_hours((o_orderkey % 24)::INTEGER) AS ts FROM orders)""",
     "h08_parse_dates": "SELECT o_orderkey, date_trunc('hour', CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate ELSE date_trunc('day', o_orderdate) END) AS ts FROM orders",
     "h09_polynomial": f"SELECT p_partkey, {rr(y='p_retailprice / 100 - 0.05 * p_size + 0.01 * p_size * p_size')} FROM part",
@@ -279,6 +280,5 @@ ORACLE = {
         y='1 + 0.5 * x - 0.01 * x * x')} FROM (SELECT o_orderkey, o_orderdate AS ts, (o_custkey % 90)::DOUBLE AS lat, (o_custkey % 180)::DOUBLE AS lon, (o_orderkey % 40)::DOUBLE AS x FROM orders)""",
     "a13_forecast_points": q(
         f"SELECT key_site AS site, ts, lead_hours::INTEGER AS lead_hours, source, {rr(flow='flow')}, {_HYDRO_COLS} FROM ({_HYDRO})", "dense", "basins", "groups",
-        extra={**_FORECAST, **_dispatch(
-            f"SELECT * EXCLUDE (site), plant_site AS site, greatest(flow - reserve, 0) AS available, available AS rest_0 FROM (SELECT *, {_RESERVE} AS reserve FROM ({_POINTS.format(now=NOW)}))")}),
+        extra={**_FORECAST, **_DISPATCH_POINTS}),
 }
