@@ -19,13 +19,16 @@ def fade_rows(span: float) -> int:
     return 1 if q <= 0 else math.ceil(FADE / -math.log(q))
 
 
-def ewm_halo(*spans: float) -> int:
-    """History a block needs: the own chunk and the full one before it."""
-    return 2 * max(fade_rows(s) for s in spans)
+def ewm_halo(axis: Axis, *spans: float) -> int:
+    """History a block needs: the own chunk and the full one before it, and at least a year.
+
+    The year lets a value be carried over a long gap; after a gap longer than the halo the mean starts anew.
+    """
+    return max(2 * max(fade_rows(s) for s in spans), 366 * axis.steps_per_day)
 
 
 def ewm_mean(x: Column, span: float, axis: Axis, min_periods: int = 1) -> Column:
-    """EWM mean of `x` on rows already split by `axis` with at least `ewm_halo(span)` rows of history.
+    """EWM mean of `x` on rows already split by `axis` with at least `ewm_halo(axis, span)` rows of history.
 
     Chunks of `fade_rows(span)` keep the growing weights finite; the chunk before supplies the rest.
     """
@@ -51,9 +54,5 @@ def ewm_mean(x: Column, span: float, axis: Axis, min_periods: int = 1) -> Column
 
         one = F.when(x.isNotNull(), F.lit(1.0))
         mean = weighted(x) / weighted(one)
-    at_valid = F.when(x.isNotNull(), mean)
-    return F.when(F.count(x).over(upto) >= max(1, min_periods), _last_value(at_valid, upto))
-
-
-def _last_value(v: Column, w) -> Column:
-    return F.last(v, ignorenulls=True).over(w)
+    carried = F.last(F.when(x.isNotNull(), mean), ignorenulls=True).over(upto)
+    return F.when(F.count(x).over(upto) >= max(1, min_periods), carried)

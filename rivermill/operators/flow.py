@@ -47,7 +47,7 @@ def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow")
     spd = axis.steps_per_day
     lags = flow_lags(horizon, spd)
     capped = rolling_quantile(df, axis, value, 365 * spd, 30 * spd, 0.95, "q95_year")
-    halo = horizon + max(30 * spd, ewm_halo(30 * spd), lags[-1])
+    halo = horizon + max(30 * spd, ewm_halo(axis, 30 * spd), lags[-1])
     w = axis.window()
     q = F.col(value)
     base = axis.split(capped, back=halo).withColumns(

@@ -137,7 +137,7 @@ def _frame(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
     """Split rows with net inflow; the halo covers every memory used below."""
     spd = axis.steps_per_day
     w = axis.window()
-    memory = max(ewm_halo(30 * spd), 30 * spd + 7 * spd)
+    memory = max(ewm_halo(axis, 30 * spd), 30 * spd + 7 * spd)
     df = weather_base(weather, basins, axis, halo=memory)
     temp = F.col("temp")
     df = df.withColumns({"temp_48h": rolling(F.avg, temp, w, 2 * spd, 1), "temp_24h": rolling(F.avg, temp, w, spd, 1)})

@@ -109,7 +109,7 @@ def w37(s, d):
 def j02(s, d):
     """EWM over daily upstream flow of every station."""
     ax = t.STATIONS_DAILY
-    split = ax.split(t.daily_upstream(s, d), back=ewm_halo(15))
+    split = ax.split(t.daily_upstream(s, d), back=ewm_halo(ax, 15))
     return rounded(ax.core(split.withColumn("ewm_15", ewm_mean(F.col("upstream"), 15, ax, 3))), 8)
 
 
@@ -305,10 +305,9 @@ ORACLE = {
         f"""SELECT site, ts, {rr(flow='flow', trend="coalesce(CASE WHEN count(flow) OVER w >= 12 THEN regr_slope(flow, rn) OVER w END, 0)")}
             FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY ts)::DOUBLE AS rn FROM dense) WINDOW w AS (PARTITION BY site ORDER BY ts ROWS 71 PRECEDING)""", "dense"),
     "w33_lead_matrix": q(
-        f"""SELECT site, ts, {rr(**{f't_{k}': f'lead(flow, {k}) OVER w' for k in range(1, 9)})}, inside FROM (
+        f"""SELECT site, ts, {rr(**{f't_{k}': f'CASE WHEN inside THEN lead(flow, {k}) OVER w END' for k in range(1, 9)})}, inside FROM (
               SELECT *, row_number() OVER (PARTITION BY site ORDER BY ts DESC) > 8 AS inside FROM dense)
-            WINDOW w AS (PARTITION BY site ORDER BY ts)""", "dense").replace(
-        "round(lead(", "round(CASE WHEN inside THEN lead(").replace(") OVER w, 6)", ") OVER w END, 6)"),
+            WINDOW w AS (PARTITION BY site ORDER BY ts)""", "dense"),
     "w34_weather_lag_block": q(
         f"""SELECT site, point, ts, {same(8, 'temp_k', 'precip_cum_mm')}, {rr(8, temp_k_lag='coalesce(lag(temp_k, 8) OVER w, 0)', precip_cum_mm_lag='coalesce(lag(precip_cum_mm, 8) OVER w, 0)')}
             FROM weather WINDOW w AS (PARTITION BY site, point ORDER BY ts)""", "weather"),

@@ -246,7 +246,7 @@ def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> st
 
 def rounded(digits: int = 6, **exprs: str) -> str:
     """`round(expr) AS name` list; adding zero turns -0.0 into 0.0."""
-    return ", ".join(f"round({e}, {digits}) + 0.0 AS {n}" for n, e in exprs.items())
+    return ", ".join(f"round(({e})::DOUBLE, {digits}) + 0.0 AS {n}" for n, e in exprs.items())
 
 
 def same(digits: int, *names: str) -> str:

@@ -268,9 +268,8 @@ ORACLE = {
         f"SELECT site, l_orderkey, l_linenumber, ts, flow, {_HYDRO_COLS} FROM ({_HYDRO})", "inflow", "groups",
         extra={**_PLANT, **_dispatch(f"SELECT *, greatest(flow - reserve, 0) AS available, available AS rest_0 FROM (SELECT *, {_RESERVE} AS reserve FROM joined)")}),
     "h15_turbine_time": q(
-        f"""SELECT u.site, u.station, u.season, u.ts + to_hours(round_even(coalesce(t.hours / 2, 0), 0)::INTEGER) AS turbine_ts, {rr(8, turbine_flow='upstream * 1.2::DOUBLE')}, coalesce(t.hours / 2, 0) AS hours
-            FROM (SELECT *, {SEASON} AS season FROM upstream) u LEFT JOIN transit t ON t.site = u.site AND t.station = u.station AND t.season = u.season""", "upstream", "transit").replace(
-        "u.season, u.ts +", "u.ts +").replace(", coalesce(t.hours / 2, 0) AS hours", ""),
+        f"""SELECT u.site, u.station, u.ts + to_hours(round_even(coalesce(t.hours / 2, 0), 0)::INTEGER) AS turbine_ts, {rr(8, turbine_flow='upstream * 1.2::DOUBLE')}
+            FROM (SELECT *, {SEASON} AS season FROM upstream) u LEFT JOIN transit t ON t.site = u.site AND t.station = u.station AND t.season = u.season""", "upstream", "transit"),
     "h17_slug": """SELECT doc_id, md5(x) AS slug_hash, length(x) AS n FROM (SELECT doc_id,
         regexp_replace(translate(lower(text), 'àâäéèêëîïôöùûüç ', 'aaaeeeeiioouuuc_'), '[^\\p{L}\\p{N}_]', '', 'g') AS x FROM documents)""",
     "h18_normalize": """SELECT doc_id, md5(x) AS folded_hash, length(x) AS n FROM (SELECT doc_id, regexp_replace(strip_accents(lower(text)), '[^\\x00-\\x7F]', '', 'g') AS x FROM documents)""",
