@@ -17,14 +17,14 @@ def value_buckets(counts: DataFrame, keys: list[str], value: str, sums: list[str
     """
     at = F.expr(f"array({', '.join(f'{i / buckets}D' for i in range(1, buckets))})")
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, at, F.lit(10_000)).alias("_cuts"))
-    # Number of cut points below the value, by bisection (`buckets` is a power of two).
-    halves = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
-    bucket = F.aggregate(
-        halves,
-        F.lit(0),
-        lambda n, half: F.when(F.get("_cuts", n + half - 1) < F.col(value), n + half).otherwise(n),
-    )
-    placed = counts.join(cuts, keys).withColumn("_bucket", bucket).drop("_cuts")
+    # Number of cut points below the value, by bisection (`buckets` is a power of two). One projection per
+    # halving keeps it in generated code; a lambda over the cut points would be interpreted.
+    placed = counts.join(cuts, keys).withColumn("_bucket", F.lit(0))
+    for k in range(1, buckets.bit_length()):
+        half = buckets >> k
+        below = F.get("_cuts", F.col("_bucket") + (half - 1)) < F.col(value)
+        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(below, half).otherwise(0))
+    placed = placed.drop("_cuts")
     totals = placed.groupBy(*keys, "_bucket").agg(
         F.min(value).alias("_min"), *[F.sum(s).alias(f"_t_{s}") for s in sums]
     )

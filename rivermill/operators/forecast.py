@@ -46,7 +46,7 @@ def forecast_table(observed: DataFrame, predicted: DataFrame, transit: DataFrame
 def forecast_points(table: DataFrame, plants: DataFrame, now) -> DataFrame:
     """Rows from `now` on with hydraulics, leads counted from 0."""
     rows = from_now(table, now).withColumnRenamed("q_in", "flow")
-    return hydraulic_points(rows.join(plants, "site"))
+    return hydraulic_points(rows, plants)
 
 
 def forecast_documents(table: DataFrame, plants: DataFrame, now, extra: dict[str, Column] | None = None) -> DataFrame:
@@ -62,8 +62,8 @@ def forecast_documents(table: DataFrame, plants: DataFrame, now, extra: dict[str
         "efficiency",
     )
     docs = points.groupBy("site").agg(
-        F.array_sort(F.collect_list(item)).alias("points"), F.first(best_priority(F.col("groups"))).alias("priority")
-    )
+        F.array_sort(F.collect_list(item)).alias("points")
+    ).join(plants.select("site", best_priority(F.col("groups")).alias("priority")), "site")
     first = F.col("points")[0]
     header = {
         "is_current": F.lit(True),

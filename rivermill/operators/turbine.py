@@ -39,7 +39,7 @@ def reserve_flow(ts: Column) -> Column:
     return F.when(seasonal, by_season).otherwise(F.coalesce("reserve_flow", F.lit(0.0)))
 
 
-def dispatch(available: Column, groups: Column) -> Column:
+def dispatch(available: Column, groups: Column, sort: bool = True) -> Column:
     """Flow per group in priority order: at most its maximum, nothing below its arming flow."""
     empty = F.array().cast("array<double>")
     start = F.struct(available.cast("double").alias("left"), empty.alias("used"))
@@ -50,43 +50,55 @@ def dispatch(available: Column, groups: Column) -> Column:
         rest = F.greatest(acc["left"] - taken, F.lit(0.0))
         return F.struct(rest.alias("left"), F.concat(acc["used"], F.array(taken)).alias("used"))
 
-    return F.aggregate(order_groups(groups), start, step)["used"]
+    return F.aggregate(order_groups(groups) if sort else groups, start, step)["used"]
 
 
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
 
 
-def hydraulic_points(df: DataFrame) -> DataFrame:
-    """Adds usable and reserved flow, power, dynamic maximum, head and efficiency of the first group.
+def plant_records(registry: DataFrame) -> DataFrame:
+    """What a flow point needs of a plant, worked out once per plant: ordered groups and each group's
+    full-load power per metre of head."""
 
-    `df` holds `flow`, `ts` and the plant record columns (`groups`, reserve fields).
-    """
-    q = F.col("flow")
-    df = df.withColumns({"_reserve": reserve_flow(F.col("ts")), "_groups": order_groups(F.col("groups"))})
-    df = df.withColumn("_available", F.greatest(q - F.col("_reserve"), F.lit(0.0)))
-    df = df.withColumn("_used", dispatch(F.col("_available"), F.col("_groups")))
-    pairs = F.arrays_zip("_groups", "_used")
-
-    def power(flow_of) -> Column:
-        return _sum(
-            F.transform(
-                pairs,
-                lambda z: flow_of(z) * efficiency(z["_groups"], flow_of(z)) / 100 * head(z["_groups"], q) * GRAVITY,
-            )
-        )
+    def full_load(g: Column) -> Column:
+        return g["max_flow"] * efficiency(g, g["max_flow"]) / 100 * GRAVITY
+
+    ordered = order_groups(F.col("groups"))
+    return registry.select(
+        "site", "reserve_flow", "reserve_summer", "reserve_winter", "summer_from", "summer_to",
+        ordered.alias("ordered"), F.transform(ordered, full_load).alias("full_load"),
+    )
 
-    none = F.coalesce(F.size("groups"), F.lit(0)) <= 0
-    first, first_flow = F.get("_groups", F.lit(0)), F.get("_used", F.lit(0))
-    columns = {
-        "usable": F.round(F.when(none, F.col("_available")).otherwise(_sum(F.col("_used"))), 3),
-        "reserved": F.round(F.least(q, F.col("_reserve")), 3),
-        "power": F.round(F.when(none, 0.0).otherwise(power(lambda z: z["_used"])), 1),
-        "power_max": F.round(F.when(none, 0.0).otherwise(power(lambda z: z["_groups"]["max_flow"])), 1),
-        "head": F.round(F.when(none, 0.0).otherwise(head(first, q)), 3),
-        "efficiency": F.round(F.when(none, 0.0).otherwise(efficiency(first, first_flow)), 2),
-    }
-    return df.withColumns(columns).drop("_reserve", "_groups", "_available", "_used")
+
+def hydraulic_points(df: DataFrame, registry: DataFrame) -> DataFrame:
+    """Adds usable and reserved flow, power, dynamic maximum, head and efficiency of the first group to
+    `df(site, ts, flow, ...)`."""
+    keep, q = df.columns, F.col("flow")
+    df = df.join(plant_records(registry), "site").withColumn("_reserve", reserve_flow(F.col("ts")))
+    df = df.withColumn("_available", F.greatest(q - F.col("_reserve"), F.lit(0.0)))
+    df = df.withColumns(
+        {
+            "_used": dispatch(F.col("_available"), F.col("ordered"), sort=False),
+            "_heads": F.transform("ordered", lambda g: head(g, q)),
+        }
+    )
+    df = df.withColumn("_effs", F.zip_with("ordered", "_used", efficiency))
+    load = F.zip_with("_used", "_effs", lambda u, e: u * e / 100 * GRAVITY)
+    none = F.coalesce(F.size("ordered"), F.lit(0)) <= 0
+
+    def at_head(per_metre) -> Column:
+        return _sum(F.zip_with(per_metre, "_heads", lambda p, h: p * h))
+
+    return df.select(
+        *keep,
+        F.round(F.when(none, F.col("_available")).otherwise(_sum(F.col("_used"))), 3).alias("usable"),
+        F.round(F.least(q, F.col("_reserve")), 3).alias("reserved"),
+        F.round(F.when(none, 0.0).otherwise(at_head(load)), 1).alias("power"),
+        F.round(F.when(none, 0.0).otherwise(at_head("full_load")), 1).alias("power_max"),
+        F.round(F.when(none, 0.0).otherwise(F.get("_heads", F.lit(0))), 3).alias("head"),
+        F.round(F.when(none, 0.0).otherwise(F.get("_effs", F.lit(0))), 2).alias("efficiency"),
+    )
 
 
 def missing_fields(registry: DataFrame) -> DataFrame:

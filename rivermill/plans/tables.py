@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rivermill.functions.blocks import Axis, densify
 from rivermill.operators.prepare import hourly_mean
 from rivermill.operators.weather import normalise_weather
-from rivermill.session import materialise
+from rivermill.session import materialise, spread
 
 HOURLY = Axis(("site",), 3600)
 DAILY = Axis(("site",), 86_400)
@@ -187,13 +187,14 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plant inflow points from order lines."""
-    return table(spark, sf_dir, "lineitem").select(
+    rows = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("site"),
         F.col("l_shipdate").cast("timestamp").alias("ts"),
         F.col("l_quantity").alias("flow"),
         "l_orderkey",
         "l_linenumber",
     )
+    return spread(rows)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,7 +102,7 @@ def h13(s, d):
 
 
 def h14(s, d):
-    rows = tb.hydraulic_points(_with_plant(s, d))
+    rows = tb.hydraulic_points(t.inflow(s, d), t.registry(s, d))
     return rounded(rows.select(*_KEY, "usable", "reserved", "power", "power_max", "head", "efficiency"))
 
 

@@ -59,3 +59,12 @@ def materialise(df, name: str, partition_by: tuple[str, ...] = ()):
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+
+
+def spread(df):
+    """Deals rows out when the input has fewer splits than the cluster has cores; a large input is left alone.
+
+    For work that is heavy per row: one small file would otherwise keep a single core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

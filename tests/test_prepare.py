@@ -131,6 +131,10 @@ def plant(spark, flow, groups, ts="2026-07-15", constant=None, summer=None):
     return table(spark, [("a", ts, flow, constant, s, w, 601 if summer else None, 1031 if summer else None, groups)], PLANT)
 
 
+def points(df):
+    return tb.hydraulic_points(df.select("site", "ts", "flow"), df.drop("ts", "flow")).first()
+
+
 def group(name, priority, arm, top, eff=(80.0,), head=((-1e9, 1e9, [5.0]),)):
     return (name, priority, arm, top, list(eff), list(head))
 
@@ -149,13 +153,13 @@ def test_reserve_by_season(spark, ts, want):
 
 def test_plant_point_conserves_water(spark):
     groups = [group("G1", 2, 2.0, 20.0, (70.0, 1.0), ((0.0, 10.0, [6.0]), (10.0, 30.0, [5.0, 0.01]))), group("G2", 1, 1.0, 12.0)]
-    row = tb.hydraulic_points(plant(spark, 25.0, groups, constant=3.5)).first()
+    row = points(plant(spark, 25.0, groups, constant=3.5))
     assert row.usable == 21.5 and row.reserved == 3.5
     head2, head1 = 5.0, 5.25
     want = 12.0 * 0.8 * head2 * 9.81 + 9.5 * (70 + 9.5) / 100 * head1 * 9.81
     assert row.power == pytest.approx(round(want, 1))
     assert row.head == 5.0 and row.efficiency == 80.0
-    none = tb.hydraulic_points(plant(spark, 25.0, [], constant=3.5)).first()
+    none = points(plant(spark, 25.0, [], constant=3.5))
     assert (none.usable, none.power, none.head) == (21.5, 0.0, 0.0)
 
 
