@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+# A task sorts at most about this fraction of the distinct values of one group.
+BUCKETS = 4096
 
 
 def value_buckets(counts: DataFrame, keys: list[str], value: str, sums: list[str], buckets: int = BUCKETS) -> DataFrame:

@@ -24,19 +24,20 @@ def rolling_quantile(
 ) -> DataFrame:
     """Exact moving quantile. A moving frame re-sorts its rows at every step in Spark, so each block
     (with `n - 1` rows of history) goes through one sliding pass in pandas instead."""
-    keys = list(axis.keys)
-    split = axis.split(df.select(*keys, axis.ts, value), back=n - 1)
-    out = T.StructType(
-        [*[split.schema[k] for k in keys], split.schema[axis.ts], T.StructField(name, T.DoubleType())]
-    )
+    keys, base = list(axis.keys), [*axis.keys, axis.ts, value]
+    split = axis.split(df.select(*base), back=n - 1)
+    out = T.StructType([*[split.schema[c] for c in base], T.StructField(name, T.DoubleType())])
 
     def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_pos")
         pdf[name] = pdf[value].rolling(n, min_periods=min_periods).quantile(q)
-        return pdf.loc[pdf["_core"], [*keys, axis.ts, name]]
+        return pdf.loc[pdf["_core"], [*base, name]]
 
     quantiles = split.groupBy(*keys, "_blk").applyInPandas(one_block, out)
-    return df.join(quantiles, [*keys, axis.ts])
+    # The value travels along, so only further columns need a join.
+    if set(df.columns) == set(base):
+        return quantiles
+    return df.join(quantiles.drop(value), [*keys, axis.ts])
 
 
 def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow") -> DataFrame:

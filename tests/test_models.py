@@ -90,3 +90,45 @@ def test_outcomes_name_every_site(spark):
     decisions = spark.createDataFrame([("d", "promote")], "site STRING, decision STRING")
     got = {r.site: r.outcome for r in ml.batch_outcomes(sites, contract, due, decisions).collect()}
     assert got == {"a": "contract_broken", "b": "not_due", "c": "no_candidate", "d": "promote", "e": "no_data"}
+
+
+def test_stacking_end_to_end(spark, series):
+    """Trees and day mean on a regular day cycle: the stack must not lose against its inputs."""
+    rng = np.random.default_rng(3)
+    values = [float(10 + 5 * np.sin(2 * np.pi * i / 24) + rng.normal(0, 0.3)) for i in range(400)]
+    df = series(values)
+    h = 3
+    matrix = ml.feature_matrix(df, HOURLY, h, ["lag_3", "lag_6", "trend_rel"])
+    assert matrix.columns == ["site", "ts", "flow", "label", "lag_3", "lag_6", "trend_rel"]
+    model, scores = ml.fit_final(matrix, HOURLY, ["lag_3", "lag_6", "trend_rel"], {"maxIter": 5, "maxDepth": 3})
+    assert {r.role for r in scores.collect()} == {"fit", "val", "test"}
+    oof = model.transform(matrix).select("site", "ts", F.col("prediction").alias("oof"))
+    frame = ml.day_mean_log(df, HOURLY, h).join(oof, ["site", "ts"], "left")
+    meta = ml.meta_features(frame, HOURLY, h, [])
+    assert set(ml.meta_columns(h, [])) <= set(meta.columns)
+    stack, per_slice = ml.fit_stacking(meta, HOURLY, h, [])
+    assert {r.role: r.kge > 0.8 for r in per_slice.collect()} == {"fit": True, "val": True, "test": True}
+    long = ml.test_predictions(meta, stack, h)
+    n = ml.known_targets(meta).count()
+    assert long.count() == n * h * 3 and long.where("p < 0").isEmpty()
+    mse = {r.model: r.mse for r in long.groupBy("model").agg(F.avg(F.pow(F.col("y") - F.col("p"), 2)).alias("mse")).collect()}
+    assert mse["stacked"] <= mse["tree"] and mse["stacked"] <= mse["seq"]
+    live = ml.meta_features(frame, HOURLY, h, [], ml.target_q90(ml.known_targets(meta)), live=True)
+    ahead = ml.predict_future(live, stack, HOURLY, h).orderBy("ts").collect()
+    assert len(ahead) == h and all(r.q_stacked >= 0 for r in ahead)
+    assert (ahead[0].ts - df.agg(F.max("ts")).first()[0]).total_seconds() == 3600
+
+
+def test_linear_sequence_model_learns_a_line(spark, series):
+    df = series([float(np.expm1(1 + 0.01 * i)) for i in range(120)])
+    windows = sq.sliding_sequences(df, HOURLY, 6, 2)
+    models = ml.fit_sequence_model(windows, 2)
+    joined = ml.predict_sequences(models, windows).join(windows.select("site", "ts", "y"), ["site", "ts"])
+    for r in joined.collect():
+        assert r.seq == pytest.approx(r.y, abs=0.05)
+
+
+def test_search_scores_every_candidate(spark, series):
+    rows = series([float(i % 24 + 1) for i in range(120)]).withColumns({"label": F.log1p("flow"), "f": F.hour("ts").cast("double")})
+    got = ml.search(rows, HOURLY, ["f"], [{"maxIter": 1, "maxDepth": 1}, {"maxIter": 8, "maxDepth": 4}], 2, 2).orderBy("candidate").collect()
+    assert [r.candidate for r in got] == [0, 1] and got[1].loss < got[0].loss
