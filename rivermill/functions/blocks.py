@@ -123,9 +123,3 @@ def densify(df: DataFrame, axis: Axis) -> DataFrame:
         *axis.keys, F.timestamp_seconds(F.col("_p") * axis.step).alias(axis.ts)
     )
     return axis_rows.join(df, [*axis.keys, axis.ts], "left")
-
-
-def shifted(df: DataFrame, axis: Axis, steps: Column, values: dict[str, str], with_time: bool = True) -> DataFrame:
-    """`values` moved forward by a per-row number of steps: an equi join key instead of a lag."""
-    moved = F.timestamp_seconds(F.unix_seconds(F.col(axis.ts)) + steps * axis.step)
-    return df.select(*axis.keys, moved.alias(axis.ts), *[F.col(c).alias(n) for n, c in values.items()])

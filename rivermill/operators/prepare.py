@@ -74,6 +74,16 @@ def from_first_flow(weather: DataFrame, flow: DataFrame, start) -> DataFrame:
     return weather.join(first, "site").where(F.col("ts") >= F.col("start_ts")).drop("start_ts")
 
 
+def update_range(sites: DataFrame, stored: DataFrame, floor, now) -> DataFrame:
+    """What to fetch next per site: from the hour after the last stored row, or the history floor, up to
+    the end of the day before `now`."""
+    end = F.date_trunc("day", F.lit(now).cast("timestamp")) - F.make_interval(hours=F.lit(1))
+    after = F.col("last_ts") + F.make_interval(hours=F.lit(1))
+    start = F.greatest(F.coalesce(after, F.lit(floor).cast("timestamp")), F.lit(floor).cast("timestamp"))
+    wanted = sites.select("site").join(last_stored(stored, "site"), "site", "left")
+    return wanted.select("site", start.alias("start_ts"), end.alias("end_ts")).where(F.col("start_ts") <= F.col("end_ts"))
+
+
 def live_window(df: DataFrame, now, horizon: int, lookback_days: int = 90) -> DataFrame:
     at = F.lit(now).cast("timestamp")
     return df.where(

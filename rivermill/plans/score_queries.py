@@ -9,10 +9,11 @@ from rivermill.functions.columns import null_safe
 from rivermill.operators import drift as dr
 from rivermill.operators import evaluate as ev
 from rivermill.plans import tables as t
-from rivermill.plans.oracle import SEASON, kge_sql, same
+from rivermill.plans.oracle import SEASON, kge_sql
 from rivermill.plans.oracle import rounded as rr
 from rivermill.plans.oracle import with_ctes as q
 from rivermill.plans.shape import rounded
+from rivermill.session import materialise
 
 
 def d04(s, d):
@@ -116,7 +117,7 @@ def _drift_long(s, d):
     w = ax.window()
     df = ax.core(split.withColumns({"step": diff(F.col("flow"), w, 1), "late": F.when(F.dayofmonth("ts") > 25, F.col("flow") * 3).otherwise(F.col("flow"))}))
     cols = ["flow", "step", "late"]
-    parts = split_reference_current(df, 5)
+    parts = split_reference_current(materialise(df, "drift-input"), 5)
     return dr.unpivot_columns(parts.select("site", "part", *cols), ["site", "part"], cols)
 
 

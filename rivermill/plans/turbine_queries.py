@@ -8,7 +8,6 @@ from rivermill.functions import columns as fn
 from rivermill.functions.sql import register_functions
 from rivermill.operators import forecast as fc
 from rivermill.operators import turbine as tb
-from rivermill.operators import upstream as us
 from rivermill.operators import weather as wx
 from rivermill.plans import tables as t
 from rivermill.plans.oracle import SEASON, same

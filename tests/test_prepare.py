@@ -46,6 +46,16 @@ def test_forecast_wins_but_a_null_never_erases(spark):
     assert [r.temp for r in out] == [1.0, 2.0]
 
 
+def test_update_starts_after_the_last_row_or_at_the_floor(spark):
+    from rivermill.sources.weather import ARCHIVE_START
+
+    sites = spark.createDataFrame([("a",), ("b",), ("done",)], "site STRING")
+    stored = table(spark, [("a", "2026-01-05 07:00:00"), ("done", "2026-01-09 23:00:00")], "site STRING, ts STRING")
+    got = {r.site: (str(r.start_ts), str(r.end_ts)) for r in pr.update_range(sites, stored, ARCHIVE_START, "2026-01-10 09:30:00").collect()}
+    end = "2026-01-09 23:00:00"
+    assert got == {"a": ("2026-01-05 08:00:00", end), "b": ("2022-11-15 00:00:00", end)}
+
+
 def test_same_column_from_two_sources_is_an_error(spark, series):
     with pytest.raises(ValueError, match="flow"):
         pr.align_sources([series([1.0]), series([2.0])], ["site", "ts"])
