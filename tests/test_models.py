@@ -132,3 +132,19 @@ def test_search_scores_every_candidate(spark, series):
     rows = series([float(i % 24 + 1) for i in range(120)]).withColumns({"label": F.log1p("flow"), "f": F.hour("ts").cast("double")})
     got = ml.search(rows, HOURLY, ["f"], [{"maxIter": 1, "maxDepth": 1}, {"maxIter": 8, "maxDepth": 4}], 2, 2).orderBy("candidate").collect()
     assert [r.candidate for r in got] == [0, 1] and got[1].loss < got[0].loss
+
+
+def test_importances_and_step_trees_follow_the_signal(spark, series):
+    rng = np.random.default_rng(8)
+    n = 150
+    x = rng.uniform(0, 3, n)
+    df = series(x.tolist(), name="tree_1").withColumns(
+        {"noise": F.rand(1), "label": F.col("tree_1") * 2, "y": F.array(F.col("tree_1") * 1.0)})
+    ranked = dict(ml.feature_importances(df, ["tree_1", "noise"], trees=5))
+    assert ranked["tree_1"] > 0.8 and sum(ranked.values()) == pytest.approx(1.0)
+    others = {c: F.lit(0.0) for c in ml.meta_columns(1, []) if c != "tree_1"}
+    meta = df.select("site", "ts", "tree_1", "y").withColumns({**others, "q_now_log": F.col("tree_1")})
+    models, scores = ml.fit_step_trees(meta, HOURLY, 1, [], {"maxIter": 10, "maxDepth": 4})
+    got = {r.role: (r.n, r.kge) for r in scores.collect()}
+    assert len(models) == 1 and {k: v[0] for k, v in got.items()} == {"fit": 120, "val": 15, "test": 15}
+    assert all(v[1] > 0.8 for v in got.values())
