@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -45,9 +46,37 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_OWNED: set[str] = set()
+
+
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application below the shared one; it goes when the driver's process ends."""
+    path = f"{shared_dir(spark)}/rivermill-{spark.sparkContext.applicationId}"
+    if path not in _OWNED:
+        _OWNED.add(path)
+        atexit.register(_remove, spark.sparkContext._gateway.jvm, path)
+    return path
+
+
+def _remove(jvm, path: str) -> None:
+    try:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+    except Exception:  # noqa: BLE001  the JVM may be gone before the driver's process ends
+        pass
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path of its own below the shared folder, so reruns never collide."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path of its own below the run's folder, so reruns never collide."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes what `fresh_path` gave, once nothing reads it any more."""
+    if not path.startswith(run_dir(spark)):
+        raise ValueError(f"not a folder of this run: {path}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df, name: str, partition_by: tuple[str, ...] = ()):
