@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from rivermill.session import materialise
+
 #: Hexadecimal digits of the seeded order that number the pieces of a source; rows are ranked in one piece per source only.
 PIECE_DIGITS = 3
 
@@ -46,8 +48,8 @@ def mix(docs: DataFrame, text: str = "text", *, size, share: tuple[int, int] = (
 
     `size`: from the text's column to the column of its size. `share`: the mix's total as a fraction of all sizes.
     Sizes are added up per source and piece of the seeded order; the piece that holds a source's boundary is ranked row
-    by row and gives the last order value taken once more. So rows meet with one row per source, and texts stay where
-    they are.
+    by row and gives the last order value taken once more. So rows meet with one row per source. Those rows are written
+    first: Spark then knows their size, sends them to the texts while they are few, and else joins by shuffle.
     """
     tag = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("n"))  # joins on a null source too
     order = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
@@ -62,7 +64,7 @@ def mix(docs: DataFrame, text: str = "text", *, size, share: tuple[int, int] = (
     sources = sources.select("_tag", "source_size", "target", "_whole", (F.col("target") - F.col("_whole") * F.col("source_size")).alias("_rest"))
     before = Window.partitionBy("_tag").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     split = pieces.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).join(sources, "_tag")
-    split = split.where("_before < _rest AND _before + _sum > _rest").select("_tag", "_piece", "_before", "_rest")
+    split = materialise(split.where("_before < _rest AND _before + _sum > _rest").select("_tag", "_piece", "_before", "_rest"), "mix-split")
     # sizes are taken after the join, so only of the rows in the boundary's piece
     inside = rows.select("_tag", "_order", F.substring("_order", 1, PIECE_DIGITS).alias("_piece"), "_text").join(split, ["_tag", "_piece"])
     inside = inside.withColumn("_size", size(F.col("_text"))).drop("_text")
@@ -70,7 +72,7 @@ def mix(docs: DataFrame, text: str = "text", *, size, share: tuple[int, int] = (
     nearer = inside.withColumn("_upto", F.col("_before") + upto).where(F.col("_upto") - F.col("_size") / 2 <= F.col("_rest"))
     last = nearer.groupBy("_tag").agg(F.max("_order").alias("_last"))
     start = split.select("_tag", F.col("_piece").alias("_from"))  # where no row of the piece is taken, all before it are
-    cuts = sources.join(start, "_tag", "left").join(last, "_tag", "left")
+    cuts = materialise(sources.join(start, "_tag", "left").join(last, "_tag", "left"), "mix-cuts")
     more = F.when(F.col("_rest") <= 0, False).when(F.col("_from").isNull(), True)
     more = more.otherwise((F.col("_order") < F.col("_from")) | F.coalesce(F.col("_order") <= F.col("_last"), F.lit(False)))
     taken = rows.join(cuts, "_tag").withColumn("size", size(F.col("_text")))
