@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import arc, chat, exact, mixing, rules, shards
+from rivermill.llm import arc, chat, cotrain, exact, langid, mixing, neardup, pieces, rules, shards
 from rivermill.llm.oracle import ORACLE
 from rivermill.llm.shared import word_count
 from rivermill.session import drop_path, fresh_path, materialise
 
 SHARDS = 8
+#: The model file of the sentence pieces, as the driver sees it.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Rows with this remainder of crc32(doc_id as text) are never learned from.
+FOLDS, HELD_OUT = 5, 0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +29,20 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(FOLDS)) == HELD_OUT, F.lit(False))
+    return langid.identify(spark, docs, langid.learn(docs, ~held_out), held_out=held_out)
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations")
     return chat.format_preferences(turns, chat.swapped_answers(turns))
@@ -46,6 +60,14 @@ def warc_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "intact")
 
 
+def sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(spark, _table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.copy_groups(_table(spark, sf_dir, "documents"))
 
@@ -57,9 +79,13 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": sharding,
+    "op2_quality_classifier": quality_classifier,
     "op3_quality_rules": quality_rules,
+    "op4_language_id": language_id,
     "op5_chat_formatting": chat_formatting,
     "op6_warc": warc_conversion,
+    "op7_sentencepiece": sentence_pieces,
+    "op8_minhash_near_dedup": minhash_near_dedup,
     "op9_exact_dedup": exact_dedup,
     "op10_mixing": source_mixing,
 }
