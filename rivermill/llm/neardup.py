@@ -1,16 +1,16 @@
 """Near-duplicate texts: improved consistent weighted sampling over TF-IDF shingles, banded, verified.
 
 A text is the weighted set of its windows of five words (all its words where there are fewer). A window weighs its count
-in the text times `1 + ln((N + 1) / (df + 1)) / ln(N + 1)`, so between one and two times its count: windows that
-many texts share count half, yet a large group of near copies does not lose its similarity to its own size. Document
+in the text times `1 + IDF_SHARE * ln((N + 1) / (df + 1)) / ln(N + 1)`. The share is small on purpose: windows that
+many texts share count less, yet a large group of near copies does not lose its similarity to its own size. Document
 frequencies come from all documents, as a count-min sketch of fixed size less its expected noise.
 
 Consistent weighted sampling draws `BANDS * ROWS` samples per distinct text; two texts agree in a sample with
-the probability of their weighted Jaccard similarity. Texts that share a band are compared with the leader of that
-bucket, the member that shares the most buckets with others, on their whole weighted sets. Members that are unlike their leader
-choose another among themselves, for `ROUNDS` rounds, then each is compared with its neighbour in the order of their
-further bands. So the pairs grow with the members of a bucket, never with their square. Links of at least the threshold
-make classes; a class is named after its smallest id.
+the probability of their weighted Jaccard similarity. Texts that share a band are compared, on their whole weighted
+sets, with the leader of that bucket, the member that shares the most buckets with others; those that are unlike it are
+compared with the next leader, for `ROUNDS` rounds, and then with the leader of those that share the following band
+too. So the pairs grow with the members of a bucket, never with their square; buckets of up to `ROUNDS` members lose no
+link. Links of at least the threshold make classes; a class is named after its smallest id.
 
 A null or empty text has no windows and equals only its like; texts are equal when identical (null counts as empty). Rows that share an
 id are one document; a row without an id takes the class of its equals, and has none if no row with an id equals it.
@@ -27,16 +27,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rivermill.session import materialise
 
-SPAN, THRESHOLD = 5, 0.8
+SPAN, THRESHOLD, IDF_SHARE = 5, 0.8, 0.25
 #: A pair of similarity 0.8 shares no band with a probability of 0.0002.
 BANDS, ROWS = 16, 4
-ROUNDS = 3
+ROUNDS = 5
 #: Cells of the frequency sketch, and how it is cut for summing up: 64 strips of 64 KB, met over two stages.
 CELL_BITS, STRIPS, SALTS = 20, 64, 1024
+#: Bits of the bitmap that tells which texts to fetch: 4 MB; more ids than that only let through more rows than needed.
+BITMAP_BITS = 1 << 25
 #: Rows of the variate tables; a window takes rows for r, c and beta by three parts of its hash.
 POOL_BITS, SEED = 12, 20240229
 #: Bytes of text hashed, and windows sampled, at once.
@@ -136,7 +137,7 @@ def frequency_sketch(docs: DataFrame, text: str) -> np.ndarray:
     n = rows[0]["n"]
     noise = (cells.sum() - cells) / (len(cells) - 1)  # what other windows are expected to add to a cell
     df = np.clip(cells - noise, 1, n)
-    return (1 + np.log((n + 1) / (df + 1)) / np.log(n + 1)).astype(np.float32)
+    return (1 + IDF_SHARE * np.log((n + 1) / (df + 1)) / np.log(n + 1)).astype(np.float32)
 
 
 def weighted_sets(texts: list[bytes], weights: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -225,37 +226,57 @@ def jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray])
     return float(shared / (x[1].sum(dtype=np.float64) + y[1].sum(dtype=np.float64) - shared))
 
 
+def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose `id` may be a wanted `rep`, told before any shuffle by a bitmap of hashed ids of `BITMAP_BITS`, whatever the input."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAP_BITS))
+    own = bit(F.col("rep"))
+    bitmap = wanted.groupBy(F.bitmap_bucket_number(own).alias("_at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(own)).alias("_bits"))
+    placed = rows.withColumns({"_at": F.bitmap_bucket_number(bit(F.col("id"))), "_bit": F.bitmap_bit_position(bit(F.col("id"))).cast("int")})
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright("_bit", 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.expr("shiftright(_byte, _bit % 8) % 2 = 1")
+    return placed.join(F.broadcast(bitmap), "_at").withColumn("_byte", byte).where(found).select(*rows.columns)
+
+
 def links(spark: SparkSession, reps: DataFrame, docs: DataFrame, shipped, text: str, doc_id: str) -> DataFrame:
-    """Verified pairs (`a`, `b`) among the representatives."""
-    entries = reps.select("rep", F.explode("bands").alias("bucket"))
+    """Verified pairs (`a`, `b`) among the representatives.
+
+    A member is open in a bucket until it is linked to one of the bucket's leaders; every round the next member in the order of `place`
+    leads, and is compared with all open ones. A link's two ends cannot both miss each other before both have led.
+    """
+    following = F.element_at("bands", F.pmod(F.col("k") + 1, F.lit(BANDS)) + 1)
+    entries = reps.select("rep", "bands", F.posexplode("bands").alias("k", "bucket")).select("rep", "bucket", F.xxhash64("bucket", following).alias("finer"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(entries.join(crowded, "bucket"), "near-members")
     shares = members.groupBy("rep").agg(F.sum("n").alias("shares"))
-    members = materialise(members.join(shares, "rep").select("bucket", "rep", "shares"), "near-shares")
+    place = F.struct("shares", (-F.col("rep")).alias("neg"))
+    members = materialise(members.join(shares, "rep").select("bucket", "finer", "rep", place.alias("place")), "near-places")
     wanted = members.select("rep").distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, F.col("id") == F.col("rep"), "left_semi")
-    texts = materialise(texts, "near-texts")
-    found, tried, open_ = [], None, members
+    texts = likely(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), wanted)
+    texts = materialise(texts.join(wanted, F.col("id") == F.col("rep"), "left_semi"), "near-texts")
+    found, tried, open_, top = [], None, members, None
     for round_ in range(ROUNDS + 1):
-        if round_ < ROUNDS:
-            chosen = materialise(open_.groupBy("bucket").agg(F.max(F.struct("shares", (-F.col("rep")).alias("neg"))).alias("top")).select("bucket", (-F.col("top.neg")).alias("lead")), "near-leaders")
-            asked = open_.join(chosen, "bucket").where("rep <> lead").select("bucket", "rep", "shares", "lead")
+        group = "bucket"
+        if round_ == ROUNDS:  # what is left meets in smaller buckets, of two bands
+            group, leading = "finer", open_
+        elif top is None:
+            leading = members
         else:
-            near = Window.partitionBy("bucket").orderBy("bands", "rep")
-            asked = open_.join(reps, "rep").withColumn("lead", F.lead("rep").over(near)).where("lead IS NOT NULL").select("bucket", "rep", "shares", "lead")
-        asked = materialise(asked, "near-asked")
-        pairs = asked.select(F.greatest("rep", "lead").alias("a"), F.least("rep", "lead").alias("b")).distinct()
+            leading = members.join(top.join(open_.select("bucket").distinct(), "bucket", "left_semi"), "bucket").where("place < top")
+        top = materialise(leading.groupBy(group).agg(F.max("place").alias("top")), "near-leaders")
+        if top.isEmpty():  # all have led in every bucket
+            break
+        asked = materialise(open_.join(top, group).withColumn("lead", -F.col("top.neg")), "near-asked")
+        both = {"a": F.greatest("rep", "lead"), "b": F.least("rep", "lead")}
+        pairs = asked.where("rep <> lead").select(*[c.alias(n) for n, c in both.items()]).distinct()
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         checked = materialise(similar(pairs, texts, shipped), "near-checked")
         found.append(checked.where("alike").select("a", "b"))
-        tried = checked.select("a", "b", "alike") if tried is None else tried.unionByName(checked)
-        unlike = tried.where("NOT alike").select("a", "b")
-        open_ = asked.withColumns({"a": F.greatest("rep", "lead"), "b": F.least("rep", "lead")}).join(unlike, ["a", "b"], "left_semi").select("bucket", "rep", "shares")
-        open_ = materialise(open_, "near-open")
-        if open_.isEmpty():
-            break
-    every = found[0]
-    for more in found[1:]:
+        tried = checked if tried is None else tried.unionByName(checked)
+        alike = tried.where("alike").select("a", "b")
+        if round_ < ROUNDS:
+            open_ = materialise(asked.withColumns(both).join(alike, ["a", "b"], "left_anti").select("bucket", "finer", "rep", "place"), "near-open")
+    every = spark.createDataFrame([], "a LONG, b LONG")
+    for more in found:
         every = every.unionByName(more)
     return every
 

@@ -21,6 +21,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 MARK = "▁"
@@ -329,7 +330,7 @@ def encoder_of(vocabulary: Vocabulary) -> Encoder:
 
 def _pieces_of(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     """Runs of texts of about BATCH_CHARS bytes; a longer text is a run of its own."""
-    sizes = np.nan_to_num(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.float64))
+    sizes = np.nan_to_num(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.float64))
     begin, held = 0, 0.0
     for k, size in enumerate(sizes):
         if held and held + size > BATCH_CHARS:
