@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -141,15 +142,13 @@ def parse_utc(text: Column) -> Column:
 
 @lru_cache(maxsize=1)
 def _plain_letters() -> tuple[dict[str, str], dict[str, str]]:
-    """Characters with a plain ASCII form under compatibility decomposition: one letter, or several."""
+    """Every character with a plain ASCII form under compatibility decomposition: one letter, or several."""
     single, several = {}, {}
-    for code in range(0x80, 0x10000):
-        ch = chr(code).lower()
+    for code in range(0x80, sys.maxunicode + 1):
+        ch = chr(code)
         plain = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode().lower()
-        if len(ch) == 1 and plain:
+        if plain:
             (single if len(plain) == 1 else several)[ch] = plain
-    # Ligatures, fractions and letter-like signs; wider symbols (units, enclosed numbers) are rare in names.
-    several = {c: p for c, p in several.items() if ord(c) < 0x2190 or 0xFB00 <= ord(c) <= 0xFB06}
     return single, several
 
 
@@ -157,12 +156,12 @@ def fold_text(text: Column) -> Column:
     """Lower case without accents; what has no plain letter is dropped."""
     single, several = _plain_letters()
     low = F.lower(text)
-    wide = low
-    for ch, plain in several.items():
-        wide = F.replace(wide, F.lit(ch), F.lit(plain))
-    low = F.when(low.rlike("[" + "".join(several) + "]"), wide).otherwise(low)
-    low = F.translate(low, "".join(single), "".join(single.values()))
-    return F.regexp_replace(low, r"[^\x00-\x7F]", "")
+    # One literal holds the table of characters with several letters; only texts that have such a one are taken apart.
+    table = F.str_to_map(F.lit("\x01".join(f"{c}\x02{p}" for c, p in several.items())), F.lit("\x01"), F.lit("\x02"))
+    apart = F.transform(F.split(low, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    wide = F.length(F.translate(low, "".join(several), "")) < F.length(low)
+    folded = F.translate(F.when(wide, F.array_join(apart, "")).otherwise(low), "".join(single), "".join(single.values()))
+    return F.when(low.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"[^\x00-\x7F]", "")).otherwise(low)
 
 
 def slug(text: Column) -> Column:

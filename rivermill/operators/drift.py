@@ -12,7 +12,6 @@ NORMED_DISTANCE = 0.1
 DATASET_SHARE = 0.4
 KGE_FLOOR = 0.5
 KS_TERMS = 100
-SMALL_REFERENCE = 1000
 
 
 def unpivot_columns(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -62,14 +61,12 @@ def two_sample(long: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def column_drift(long: DataFrame, keys: list[str], statistic: str = "ks") -> DataFrame:
-    """`statistic`: "ks", "wasserstein", or "auto" (KS up to 1000 reference rows, distance above)."""
-    stats = two_sample(long, keys)
-    by_ks = F.col("p_value") < P_VALUE
-    by_distance = F.col("wasserstein_normed") > NORMED_DISTANCE
-    small = F.col("n_reference") <= SMALL_REFERENCE
-    drifted = {"ks": by_ks, "wasserstein": by_distance, "auto": F.when(small, by_ks).otherwise(by_distance)}[statistic]
-    named = {"ks": F.lit("ks"), "wasserstein": F.lit("wasserstein"), "auto": F.when(small, "ks").otherwise("wasserstein")}
-    return stats.withColumns({"statistic": named[statistic], "drifted": drifted})
+    """Both verdicts, `drifted_ks` and `drifted_distance`; the named `statistic` ("ks" or "wasserstein") decides `drifted`."""
+    verdicts = {"ks": "drifted_ks", "wasserstein": "drifted_distance"}
+    if statistic not in verdicts:
+        raise ValueError(f"statistic must be one of {sorted(verdicts)}")
+    stats = two_sample(long, keys).withColumns({"drifted_ks": F.col("p_value") < P_VALUE, "drifted_distance": F.col("wasserstein_normed") > NORMED_DISTANCE})
+    return stats.withColumns({"statistic": F.lit(statistic), "drifted": F.col(verdicts[statistic])})
 
 
 def dataset_drift(columns: DataFrame, threshold: float = DATASET_SHARE) -> DataFrame:

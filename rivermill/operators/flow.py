@@ -40,37 +40,35 @@ def rolling_quantile(
     return df.join(quantiles.drop(value), [*keys, axis.ts])
 
 
-def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow") -> DataFrame:
-    """Lags, gradients, recession, baseflow and anomaly columns next to `value`.
+#: Columns that need the moving 95 % quantile of a year, and those that need the last 30 days.
+CAPPED = {"q95_year", "max_seen_30d", "decline_vs_max", "baseflow_7d", "baseflow_30d", "ratio_fast_base"}
+MONTHLY = {"anomaly_zscore", "ratio_seasonal"}
+
+
+def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow", only: list[str] | None = None) -> DataFrame:
+    """Lags, gradients, recession, baseflow and anomaly columns next to `value`; with `only`, those columns and what they need.
 
     The series must be gap-free, so that row offsets are elapsed time.
     """
     spd = axis.steps_per_day
     lags = flow_lags(horizon, spd)
-    capped = rolling_quantile(df, axis, value, 365 * spd, 30 * spd, 0.95, "q95_year")
-    halo = horizon + max(30 * spd, ewm_halo(axis, 30 * spd), lags[-1])
-    w = axis.window()
-    q = F.col(value)
-    base = axis.split(capped, back=halo).withColumns(
-        {
-            "max_seen_30d": cap(rolling(F.max, q, w, 30 * spd, 1), F.col("q95_year")),
-            **{f"lag_{n}": F.lag(q, n).over(w) for n in lags},
-        }
-    )
+    capped, monthly = (only is None or bool(group & set(only)) for group in (CAPPED, MONTHLY))
+    month, w, q = 30 * spd, axis.window(), F.col(value)
+    halo = max(lags[-1], horizon + month if monthly else 0, horizon + max(month, ewm_halo(axis, month)) if capped else 0)
+    rows = rolling_quantile(df, axis, value, 365 * spd, month, 0.95, "q95_year") if capped else df
+    base = axis.split(rows, back=halo).withColumns({f"lag_{n}": F.lag(q, n).over(w) for n in lags})
     x = F.col(f"lag_{horizon}")
-    mean30, std30 = (rolling(f, x, w, 30 * spd, 7 * spd) for f in (F.avg, F.stddev_samp))
-    slow = base.withColumns(
-        {
-            "baseflow_7d": cap(ewm_mean(x, 7 * spd, axis, spd), F.col("q95_year")),
-            "baseflow_30d": cap(ewm_mean(x, 30 * spd, axis, spd), F.col("q95_year")),
-            "mean_30d": mean30,
-            "std_30d": std30,
-        }
-    )
+    slow = {}
+    if capped:
+        top = F.col("q95_year")
+        base = base.withColumn("max_seen_30d", cap(rolling(F.max, q, w, month, 1), top))
+        slow |= {"baseflow_7d": cap(ewm_mean(x, 7 * spd, axis, spd), top), "baseflow_30d": cap(ewm_mean(x, month, axis, spd), top)}
+    if monthly:
+        slow |= {"mean_30d": rolling(F.avg, x, w, month, 7 * spd), "std_30d": rolling(F.stddev_samp, x, w, month, 7 * spd)}
+    base = base.withColumns(slow) if slow else base
     pairs = list(zip(lags, lags[1:]))
     gradient = {p: F.col(f"lag_{p[0]}") - F.col(f"lag_{p[1]}") for p in pairs}
     columns = {
-        "decline_vs_max": x / (F.col("max_seen_30d") + EPS),
         **{f"gradient_{a}v{b}": g for (a, b), g in gradient.items()},
         **{
             f"accel_{a}v{b}v{c}v{d}": gradient[(a, b)] - gradient[(c, d)]
@@ -81,8 +79,12 @@ def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow")
             f"recession_log_{lags[i]}": F.log1p(F.col(f"lag_{lags[i + 1]}")) - F.log1p(F.col(f"lag_{lags[i]}"))
             for i in (0, 2)
         },
-        "ratio_fast_base": F.col("baseflow_7d") / (F.col("baseflow_30d") + EPS),
-        "anomaly_zscore": (x - F.col("mean_30d")) / (F.col("std_30d") + EPS),
-        "ratio_seasonal": x / (F.col("mean_30d") + EPS),
     }
-    return axis.core(slow.withColumns(columns)).drop("mean_30d", "std_30d")
+    if capped:
+        columns["decline_vs_max"] = x / (F.col("max_seen_30d") + EPS)
+        columns["ratio_fast_base"] = F.col("baseflow_7d") / (F.col("baseflow_30d") + EPS)
+    if monthly:
+        columns["anomaly_zscore"] = (x - F.col("mean_30d")) / (F.col("std_30d") + EPS)
+        columns["ratio_seasonal"] = x / (F.col("mean_30d") + EPS)
+    done = axis.core(base.withColumns(columns)).drop("mean_30d", "std_30d")
+    return done if only is None else done.select(*df.columns, *only)

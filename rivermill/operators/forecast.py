@@ -83,6 +83,7 @@ def archive_stamp(documents: DataFrame, now) -> DataFrame:
             "year": F.date_format(issued, "yyyy"),
             "month": F.date_format(issued, "MM"),
             "day": F.date_format(issued, "dd"),
+            "hour": F.date_format(issued, "HH"),
         }
     )
 

@@ -22,7 +22,7 @@ HOURS = wx.WINDOW_HOURS
 
 def _flow(columns):
     def run(s, d):
-        feats = fl.flow_features(t.daily(s, d), t.DAILY, t.H)
+        feats = fl.flow_features(t.daily(s, d), t.DAILY, t.H, only=columns)
         return rounded(feats.select("site", "ts", *columns), 8)
 
     return run

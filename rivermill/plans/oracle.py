@@ -211,7 +211,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 # Read more than once, or from a recursive part.
-STORED = {"readings", "dense", "daily", "weather", "melt_in", "runoff", "net", "arrived", "flow_lag"}
+STORED = {"readings", "dense", "daily", "weather", "melt_in", "runoff", "net", "arrived", "flow_lag", "upstream", "transit"}
 
 
 def ewm_sql(source: str, keys: str, span: float, value: str, name: str) -> str:

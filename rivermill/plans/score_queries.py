@@ -140,7 +140,7 @@ def l07_wide(s, d):
     part = F.when(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp"), "reference").otherwise("current")
     rows = t.table(s, d, "lineitem").select(F.col("l_returnflag").alias("site"), part.alias("part"), *cols)
     long = dr.unpivot_columns(rows, ["site", "part"], cols)
-    return rounded(dr.column_drift(long, ["site", "column"], "auto").select("site", "column", "ks", "wasserstein_normed", "statistic"))
+    return rounded(dr.column_drift(long, ["site", "column"], "wasserstein").select("site", "column", "ks", "wasserstein_normed", "drifted_ks", "drifted_distance", "statistic"))
 
 
 def l08(s, d):
@@ -266,7 +266,7 @@ ORACLE = {
     "l07_wasserstein_drift": q(
         f"SELECT site, col AS \"column\", {rr(wasserstein='w', wasserstein_normed='wn')}, wn > 0.1 AS drifted, 'wasserstein' AS statistic FROM pv", "dense", extra={**_DRIFT, **_CDF}),
     "l07_wide_drift": q(
-        f"SELECT site, col AS \"column\", {rr(ks='ks', wasserstein_normed='wn')}, CASE WHEN n_reference <= 1000 THEN 'ks' ELSE 'wasserstein' END AS statistic FROM pv",
+        f"SELECT site, col AS \"column\", {rr(ks='ks', wasserstein_normed='wn')}, p < 0.05 AS drifted_ks, wn > 0.1 AS drifted_distance, 'wasserstein' AS statistic FROM pv",
         extra={"long": " UNION ALL ".join(
             f"SELECT l_returnflag AS site, '{c}' AS col, l_shipdate >= TIMESTAMP '2000-01-01' AS cur, {c} AS v FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")), **_CDF}),
     "l08_drift_report": q(

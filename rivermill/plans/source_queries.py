@@ -188,8 +188,9 @@ def a14(s, d):
     path = fresh_path(s, "archive")
     docs = _documents(s, d)
     st.archive_documents(docs, path, "2024-02-01 00:20:00")
+    st.archive_documents(docs, path, "2024-02-01 00:20:00")  # a retry doubles nothing
     st.archive_documents(docs.where(F.col("site") == "view"), path, "2024-02-01 01:20:00")
-    back = s.read.schema(docs.schema.add("issued_at", "timestamp").add("year", "string").add("month", "string").add("day", "string")).json(path)
+    back = s.read.schema(docs.schema.add("issued_at", "timestamp").add("year", "string").add("month", "string").add("day", "string").add("hour", "string")).json(path)
     return back.select("site", "year", "month", "day", "issued_at", F.size("points").cast("long").alias("n_points"))
 
 

@@ -23,7 +23,7 @@ def _stream(s, d):
 
 def i01(s, d):
     out, chk = sf.new_run(s, "hours")
-    return rounded(sf.run_available(sf.closed_hour_means(_stream(s, d)), out, chk))
+    return rounded(sf.run_available(sf.closed_hour_means(_stream(s, d), "0 seconds"), out, chk))
 
 
 def i02(s, d):
@@ -51,7 +51,7 @@ def i03(s, d):
 
 def i04(s, d):
     out, chk = sf.new_run(s, "silence")
-    return sf.run_available(sf.silences(_stream(s, d), "3 hours"), out, chk)
+    return sf.run_available(sf.silences(_stream(s, d), "3 hours", "0 seconds"), out, chk)
 
 
 def i05(s, d):

@@ -55,8 +55,9 @@ def write_documents(documents: DataFrame, path: str) -> None:
 
 
 def archive_documents(documents: DataFrame, path: str, now) -> None:
-    """Adds the previous documents below site / year / month / day; sites without one write nothing."""
-    archive_stamp(documents, now).write.mode("append").partitionBy("site", "year", "month", "day").json(path)
+    """Writes the previous documents below site / year / month / day / hour; a retry writes its hour again, sites without one nothing."""
+    rows = archive_stamp(documents, now).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows.partitionBy("site", "year", "month", "day", "hour").json(path)
 
 
 def write_test_predictions(rows: DataFrame, path: str) -> None:

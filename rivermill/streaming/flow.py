@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def run_batches(stream: DataFrame, handler, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def closed_hour_means(stream: DataFrame, delay: str = "0 seconds", key: str = "station") -> DataFrame:
+def closed_hour_means(stream: DataFrame, delay: str, key: str = "station") -> DataFrame:
     """Hourly mean per station, emitted once when the watermark passes the hour: the open hour never shows."""
     hour = F.window("ts", "1 hour")
     means = stream.withWatermark("ts", delay).groupBy(key, hour).agg(F.avg("flow").alias("flow"))
@@ -47,7 +48,7 @@ def without_repeats(stream: DataFrame, delay: str = "1 hour", key: str = "statio
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key, "ts"])
 
 
-def silences(stream: DataFrame, limit: str, delay: str = "0 seconds", key: str = "station") -> DataFrame:
+def silences(stream: DataFrame, limit: str, delay: str, key: str = "station") -> DataFrame:
     """A row for each time a station stays silent longer than `limit`: its activity session has closed."""
     session = F.session_window("ts", limit)
     closed = stream.withWatermark("ts", delay).groupBy(key, session).agg(F.max("ts").alias("last_ts"))
@@ -67,8 +68,8 @@ def upsert_store(spark: SparkSession, store: str, batch: DataFrame, keys: list[s
     new = materialise(batch, "batch")
     try:
         existing = spark.read.parquet(store)
-    except Exception as e:  # the first batch finds no table
-        if "PATH_NOT_FOUND" not in str(e):
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # the first batch finds no table
             raise
         merged = new
     else:

@@ -180,11 +180,11 @@ def test_head_outside_all_segments_uses_the_last(spark):
 
 
 def test_folder_match_needs_exactly_one(spark):
-    reg = spark.createDataFrame([("a", "Castillon", [("G1",)]), ("b", "Élan", [("G2",)]), ("c", "Rive", [("G1",)])], "site STRING, plant STRING, groups ARRAY<STRUCT<name:STRING>>")
-    folders = spark.createDataFrame([("Castillon_Apas_G1",), ("elan_haut_G2",), ("elan_bas_g2",), ("Other_G9",)], "folder STRING")
+    reg = spark.createDataFrame([("a", "Valmont", [("G1",)]), ("b", "Élan", [("G2",)]), ("c", "Rive", [("G1",)])], "site STRING, plant STRING, groups ARRAY<STRUCT<name:STRING>>")
+    folders = spark.createDataFrame([("Valmont_Sud_G1",), ("elan_haut_G2",), ("elan_bas_g2",), ("Other_G9",)], "folder STRING")
     mapping = spark.createDataFrame([("c", "Other_G9")], "site STRING, mapped STRING")
     got = {r.site: (r.folder, r.status) for r in tb.match_folders(reg, folders, mapping).collect()}
-    assert got == {"a": ("Castillon_Apas_G1", "matched"), "b": (None, "unresolved"), "c": ("Other_G9", "mapped")}
+    assert got == {"a": ("Valmont_Sud_G1", "matched"), "b": (None, "unresolved"), "c": ("Other_G9", "mapped")}
 
 
 def test_eligibility(spark):
@@ -201,3 +201,10 @@ def test_unknown_site_is_a_user_error(spark):
     for site in ("zzz", "a"):
         with pytest.raises(LookupError):
             fc.lookup_forecast(rows, models, site)
+
+
+def test_wide_letters_are_folded(spark):
+    from rivermill.functions.columns import fold_text
+
+    df = spark.createDataFrame([("㎏ 5",), ("𝐀bc",), ("Élan ﬁn ½",), ("плот x",), (None,)], "t STRING")
+    assert [r[0] for r in df.select(fold_text(F.col("t"))).collect()] == ["kg 5", "abc", "elan fin 12", " x", None]

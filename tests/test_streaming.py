@@ -17,7 +17,7 @@ ROWS = [("A", f"2026-01-01 0{h}:{m:02d}:00", float(h + m / 60)) for h in range(5
 
 def test_closed_hours_equal_the_batch_rule(spark, tmp_path):
     stream, batch = landed(spark, tmp_path, [ROWS])
-    out = sf.run_available(sf.closed_hour_means(stream), str(tmp_path / "out"), str(tmp_path / "chk"))
+    out = sf.run_available(sf.closed_hour_means(stream, "0 seconds"), str(tmp_path / "out"), str(tmp_path / "chk"))
     nothing = batch.select("station", "ts").limit(0)
     a = closed_hours(batch.where("station = 'A'").withColumn("litres", F.col("flow") * 1000), nothing)
     got = {(r.ts, round(r.flow, 9)) for r in out.where("station = 'A'").collect()}
@@ -33,7 +33,7 @@ def test_repeated_delivery_counts_once(spark, tmp_path):
 def test_silence_is_reported_after_the_limit(spark, tmp_path):
     rows = [("A", "2026-01-01 00:00:00", 1.0), ("A", "2026-01-01 00:30:00", 1.0), ("B", "2026-01-01 00:00:00", 1.0), ("B", "2026-01-01 05:00:00", 1.0)]
     stream, _ = landed(spark, tmp_path, [rows])
-    out = sf.run_available(sf.silences(stream, "2 hours"), str(tmp_path / "out"), str(tmp_path / "chk")).collect()
+    out = sf.run_available(sf.silences(stream, "2 hours", "0 seconds"), str(tmp_path / "out"), str(tmp_path / "chk")).collect()
     assert {(r.station, r.last_ts.hour, r.last_ts.minute) for r in out} == {("A", 0, 30), ("B", 0, 0)}
 
 
