@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 MARK = "▁"
 #: Characters of texts encoded together, and segments remembered by a task; both bound its memory.
-BATCH_CHARS = 4 << 20
-REMEMBERED = 400_000
+BATCH_CHARS = 2 << 20
+REMEMBERED = 250_000
 #: Characters packed into one sort key; codes have 12 bits.
 PACKED, CODE_BITS = 5, 12
 NONE = np.int64(1) << 40
