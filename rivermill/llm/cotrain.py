@@ -27,8 +27,8 @@ from rivermill.session import materialise
 LABELLED, POOL, ROUNDS = 8000, 8000, 2
 SURE = 0.97
 CONTENT_BITS, META_BITS = 14, 10
-ITERATIONS = 15
-VIEWS = ("content", "meta")
+ITERATIONS, PENALTY = 25, 1e-4
+VIEWS, ORIGIN = ("content", "meta"), ("source", "lang")
 
 
 def content_tokens(text: Column) -> Column:
@@ -46,10 +46,15 @@ def meta_tokens(docs: DataFrame, text: str) -> Column:
     lines = size - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1
     step = lambda name, value: F.concat(F.lit(f"{name}="), F.coalesce(F.floor(F.log2(value + 1)).cast("string"), F.lit("null")))
     share = lambda name, pattern: step(name, 1000.0 * F.length(F.regexp_replace(t, pattern, "")) / F.greatest(size, F.lit(1)))
-    origin = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in ("source", "lang") if c in docs.columns]
+    origin = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("null"))) for c in ORIGIN if c in docs.columns]
     return F.array(*origin, step("size", size), step("lines", lines), step("line", size / lines), share("marks", r"[\w\s.,]+"), share("capitals", r"\P{Lu}+"))
 
 
+def _needed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """Only the columns that the views read, so that no other one can clash."""
+    return docs.select(doc_id, text, *[c for c in ORIGIN if c in docs.columns])
+
+
 def features(docs: DataFrame, text: str, doc_id: str, **carried: Column) -> DataFrame:
     """`id`, one vector per view, and the carried columns."""
     tokens = docs.select(F.col(doc_id).alias("id"), content_tokens(F.col(text)).alias("_content"), meta_tokens(docs, text).alias("_meta"), *[c.alias(n) for n, c in carried.items()])
@@ -70,7 +75,7 @@ class View:
 
 
 def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
-    return LogisticRegression(featuresCol=view, labelCol="label", maxIter=ITERATIONS, regParam=1e-3, rawPredictionCol="raw", probabilityCol="p", predictionCol="y").fit(rows.select(view, "label"))
+    return LogisticRegression(featuresCol=view, labelCol="label", maxIter=ITERATIONS, regParam=PENALTY, standardization=False, rawPredictionCol="raw", probabilityCol="p", predictionCol="y").fit(rows.select(view, "label"))
 
 
 def _scored(rows: DataFrame, models: dict[str, LogisticRegressionModel]) -> DataFrame:
@@ -82,6 +87,7 @@ def _scored(rows: DataFrame, models: dict[str, LogisticRegressionModel]) -> Data
 
 def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> tuple[dict[str, View], float]:
     """Both views, calibrated, and the share of good labels. No views if the labels have one class or none."""
+    docs = _needed(docs, text, doc_id)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_of")).agg(F.max(label).cast("double").alias("label"))
     first = materialise(known.orderBy(F.xxhash64("_of"), "_of").limit(LABELLED), "cotrain-labels")
     rows = docs.join(F.broadcast(first), F.col(doc_id) == F.col("_of"))

@@ -43,10 +43,11 @@ def test_ties_go_to_the_first_language_and_are_rejected():
 
 
 def test_every_block_of_a_long_text_counts():
-    model = langid.Classifier({"aa": b"alpha beta gamma delta epsilon", "bb": b"uno dos tres cuatro cinco"})
     rng = random.Random(1)
-    long_text = "uno dos " + " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(20000))
-    assert model.predict(long_text)[0] == "aa"
+    aa, bb = (["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(300)] for _ in range(2))
+    say = lambda vocabulary, n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    model = langid.Classifier({"aa": say(aa, 3000).encode(), "bb": say(bb, 3000).encode()})
+    assert model.predict(say(bb, 700) + " " + say(aa, 9000))[0] == "aa" and model.predict(say(bb, 700))[0] == "bb"
 
 
 def test_scores_follow_labels_that_were_not_learned_from(spark, table):
