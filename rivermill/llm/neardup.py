@@ -12,7 +12,7 @@ compared with the next leader, for `ROUNDS` rounds, and then with the leader of
 too. So the pairs grow with the members of a bucket, never with their square; buckets of up to `ROUNDS` members lose no
 link. Links of at least the threshold make classes; a class is named after its smallest id.
 
-A null or empty text has no windows and equals only its like; texts are equal when identical (null counts as empty). Rows that share an
+A null or empty text has no windows and equals only its like; texts are equal when identical (null counts as empty). Ids are whole numbers. Rows that share an
 id are one document; a row without an id takes the class of its equals, and has none if no row with an id equals it.
 """
 
@@ -211,8 +211,10 @@ def similar(pairs: DataFrame, texts: DataFrame, shipped) -> DataFrame:
                 alike.append(jaccard(next(weighted_sets([(mine or "").encode()], shipped.value)), known[1]) >= THRESHOLD)
             yield pd.DataFrame({"a": frame["a"], "b": frame["b"], "alike": alike})
 
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+    def needed(side: str) -> DataFrame:  # a later round asks for few texts; only those are moved
+        return likely(texts, pairs.select(F.col(side).alias("rep"))).select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
+
+    left, right = needed("a"), needed("b")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long, alike boolean")
 
 
@@ -269,7 +271,7 @@ def links(spark: SparkSession, reps: DataFrame, docs: DataFrame, shipped, text:
         both = {"a": F.greatest("rep", "lead"), "b": F.least("rep", "lead")}
         pairs = asked.where("rep <> lead").select(*[c.alias(n) for n, c in both.items()]).distinct()
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        checked = materialise(similar(pairs, texts, shipped), "near-checked")
+        checked = materialise(similar(materialise(pairs, "near-pairs"), texts, shipped), "near-checked")
         found.append(checked.where("alike").select("a", "b"))
         tried = checked if tried is None else tried.unionByName(checked)
         alike = tried.where("alike").select("a", "b")
