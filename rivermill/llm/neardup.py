@@ -7,10 +7,12 @@ frequencies come from all documents, as a count-min sketch of fixed size less it
 
 Consistent weighted sampling draws `BANDS * ROWS` samples per distinct text; two texts agree in a sample with
 the probability of their weighted Jaccard similarity. Texts that share a band are compared, on their whole weighted
-sets, with the leader of that bucket, the member that shares the most buckets with others; those that are unlike it are
-compared with the next leader, for `ROUNDS` rounds, and then with the leader of those that share the following band
-too. So the pairs grow with the members of a bucket, never with their square; buckets of up to `ROUNDS` members lose no
-link. Links of at least the threshold make classes; a class is named after its smallest id.
+sets, with the leader of that bucket, the member that shares the most buckets with others, unless they are in its class
+already; then the leader leaves and the next one leads, for `ROUNDS` rounds. The members of buckets that still hold more
+than one class meet anew by the rarest of their windows: as many as any two texts of at least the threshold must share
+one of. Those groups go on until nobody is left to lead. So every pair that shares a band is verified, in one class
+already, or below the threshold by an exact bound. Links of at least the threshold make classes; a class is named after
+its smallest id.
 
 A null or empty text has no windows and equals only its like; texts are equal when identical (null counts as empty). Ids are whole numbers. Rows that share an
 id are one document; a row without an id takes the class of its equals, and has none if no row with an id equals it.
@@ -19,6 +21,7 @@ id are one document; a row without an id takes the class of its equals, and has
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,6 +37,8 @@ SPAN, THRESHOLD, IDF_SHARE = 5, 0.8, 0.25
 #: A pair of similarity 0.8 shares no band with a probability of 0.0002.
 BANDS, ROWS = 16, 4
 ROUNDS = 5
+#: Growth of the number of leaders per round among crowded texts, and room for rounding in bounds on sums of weights.
+LEADERS, SLACK = 4, 1e-4
 #: Cells of the frequency sketch, and how it is cut for summing up: 64 strips of 64 KB, met over two stages.
 CELL_BITS, STRIPS, SALTS = 20, 64, 1024
 #: Bits of the bitmap that tells which texts to fetch: 4 MB; more ids than that only let through more rows than needed.
@@ -239,48 +244,109 @@ def likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return placed.join(F.broadcast(bitmap), "_at").withColumn("_byte", byte).where(found).select(*rows.columns)
 
 
-def links(spark: SparkSession, reps: DataFrame, docs: DataFrame, shipped, text: str, doc_id: str) -> DataFrame:
-    """Verified pairs (`a`, `b`) among the representatives.
+def postings(texts: DataFrame, shipped) -> DataFrame:
+    """The rarest windows of every text (`rep`): what is left weighs less than the threshold's share of its `total`.
 
-    A member is open in a bucket until it is linked to one of the bucket's leaders; every round the next member in the order of `place`
-    leads, and is compared with all open ones. A link's two ends cannot both miss each other before both have led.
+    Texts of at least the threshold share more than what is left of either, so one of these windows at least, by any order
+    of the windows that is the same for all texts. `rest` is the weight of what is left.
     """
-    following = F.element_at("bands", F.pmod(F.col("k") + 1, F.lit(BANDS)) + 1)
-    entries = reps.select("rep", "bands", F.posexplode("bands").alias("k", "bucket")).select("rep", "bucket", F.xxhash64("bucket", following).alias("finer"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, held in _chunks(batch.column(1)):
+                ids = batch.column(0).slice(begin, len(held)).to_numpy(zero_copy_only=False)
+                for rep, (own, weights) in zip(ids, weighted_sets(held, shipped.value)):
+                    each = shipped.value[(own >> _U(64 - CELL_BITS)).astype(np.int64)]
+                    order = np.lexsort((own, -each))
+                    sums = np.cumsum(weights[order], dtype=np.float64)
+                    if not len(sums):
+                        continue
+                    # a little more than needed, for sums that differ in their last bits
+                    n = min(int(np.searchsorted(sums, sums[-1] * (1 - THRESHOLD * (1 - SLACK)), "right")) + 1, len(sums))
+                    columns = [own[order[:n]].view(np.int64), np.full(n, rep), weights[order[:n]].astype(np.float64), np.full(n, sums[-1]), np.full(n, sums[-1] - sums[n - 1])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "rep", "weight", "total", "rest"])
+
+    return texts.select("id", "text").mapInArrow(run, "bucket long, rep long, weight double, total double, rest double")
+
+
+def relabel(named: DataFrame, edges: DataFrame) -> DataFrame:
+    """`named` (`rep`, `label`) after further links between classes."""
+    side = lambda c: named.select(F.col("rep").alias(c), F.col("label").alias(f"of_{c}"))
+    between = edges.join(side("a"), "a").join(side("b"), "b").where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct()
+    between = materialise(between, "near-between")
+    if between.isEmpty():
+        return named
+    onward = components(between).withColumnsRenamed({"id": "was", "label": "onward"})
+    return materialise(named.join(onward, F.col("label") == F.col("was"), "left").select("rep", F.coalesce("onward", "label").alias("label")), "near-named")
+
+
+def links(spark: SparkSession, reps: DataFrame, docs: DataFrame, shipped, text: str, doc_id: str) -> DataFrame:
+    """Pairs (`a`, `b`) of a representative and the smallest one of its class, of classes of more than one."""
+    entries = reps.select("rep", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(entries.join(crowded, "bucket"), "near-members")
     shares = members.groupBy("rep").agg(F.sum("n").alias("shares"))
     place = F.struct("shares", (-F.col("rep")).alias("neg"))
-    members = materialise(members.join(shares, "rep").select("bucket", "finer", "rep", place.alias("place")), "near-places")
-    wanted = members.select("rep").distinct()
+    open_ = materialise(members.join(shares, "rep").select("bucket", "rep", place.alias("place")), "near-places")
+    wanted = open_.select("rep").distinct()
     texts = likely(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), wanted)
     texts = materialise(texts.join(wanted, F.col("id") == F.col("rep"), "left_semi"), "near-texts")
-    found, tried, open_, top = [], None, members, None
-    for round_ in range(ROUNDS + 1):
-        group = "bucket"
-        if round_ == ROUNDS:  # what is left meets in smaller buckets, of two bands
-            group, leading = "finer", open_
-        elif top is None:
-            leading = members
-        else:
-            leading = members.join(top.join(open_.select("bucket").distinct(), "bucket", "left_semi"), "bucket").where("place < top")
-        top = materialise(leading.groupBy(group).agg(F.max("place").alias("top")), "near-leaders")
-        if top.isEmpty():  # all have led in every bucket
+    named = materialise(wanted.withColumn("label", F.col("rep")), "near-named")
+    tried, left = None, True
+    for _ in range(ROUNDS):
+        placed = materialise(open_.join(named, "rep"), "near-open")
+        top = placed.groupBy("bucket").agg(F.max(F.struct("place", "label")).alias("top"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        top = materialise(top.where("lo <> hi").select("bucket", "top"), "near-leaders")
+        left = not top.isEmpty()
+        if not left:  # no bucket holds two classes
             break
-        asked = materialise(open_.join(top, group).withColumn("lead", -F.col("top.neg")), "near-asked")
-        both = {"a": F.greatest("rep", "lead"), "b": F.least("rep", "lead")}
-        pairs = asked.where("rep <> lead").select(*[c.alias(n) for n, c in both.items()]).distinct()
+        # the leader meets all that are left of its bucket and leaves; those of its class need no comparison
+        asked = materialise(placed.join(top, "bucket").where("place < top.place").withColumn("lead", -F.col("top.place.neg")), "near-asked")
+        pairs = asked.where("label <> top.label").select(F.greatest("rep", "lead").alias("a"), F.least("rep", "lead").alias("b")).distinct()
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         checked = materialise(similar(materialise(pairs, "near-pairs"), texts, shipped), "near-checked")
-        found.append(checked.where("alike").select("a", "b"))
         tried = checked if tried is None else tried.unionByName(checked)
-        alike = tried.where("alike").select("a", "b")
-        if round_ < ROUNDS:
-            open_ = materialise(asked.withColumns(both).join(alike, ["a", "b"], "left_anti").select("bucket", "finer", "rep", "place"), "near-open")
-    every = spark.createDataFrame([], "a LONG, b LONG")
-    for more in found:
-        every = every.unionByName(more)
-    return every
+        named = relabel(named, checked.where("alike"))
+        open_ = asked.select("bucket", "rep", "place")
+    if left:
+        named = crowded_links(open_, named, tried, texts, shipped)
+    return named.where("label <> rep").select(F.col("rep").alias("a"), F.col("label").alias("b"))
+
+
+def crowded_links(open_: DataFrame, named: DataFrame, tried: DataFrame, texts: DataFrame, shipped) -> DataFrame:
+    """`named` after all links among the members of buckets that still hold more than one class.
+
+    Every round some texts lead, by their hash, in all their groups at once: `LEADERS` times as many as before, so that
+    large classes close before all meet all, and at last everybody. Who has led leaves.
+    """
+    mixed = open_.join(named, "rep").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    reps = materialise(open_.join(materialise(mixed.select("bucket"), "near-mixed"), "bucket").select("rep").distinct(), "near-crowded")
+    posted = postings(texts.join(reps, F.col("id") == F.col("rep"), "left_semi"), shipped)
+    rows = materialise(posted, "near-postings")
+    step = None
+    while True:
+        rows = rows.join(named, "rep")
+        groups = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        groups = materialise(groups.select("bucket", "n"), "near-groups")
+        most = groups.agg(F.max("n")).first()[0]
+        if most is None:
+            return named
+        rows = materialise(rows.join(groups.select("bucket"), "bucket"), "near-grouped")
+        step = max(0, math.ceil(math.log(most, LEADERS)) - 1) if step is None else max(0, step - 1)
+        leads = F.pmod(F.xxhash64("rep"), F.lit(LEADERS**step)) == 0
+        lead = materialise(rows.where(leads).select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ("rep", "weight", "total", "rest", "label")]), "near-leaders")
+        # of two leaders the smaller one asks; what both have posted and the larger rest bound what they share
+        met = rows.join(lead, "bucket").where((F.col("label") != F.col("lead_label")) & (~leads | (F.col("rep") > F.col("lead_rep"))))
+        met = met.where(F.least("total", "lead_total") >= F.greatest("total", "lead_total") * (THRESHOLD * (1 - SLACK)))
+        bound = F.sum(F.least("weight", "lead_weight")) + F.max(F.greatest("rest", "lead_rest"))
+        enough = F.max(F.col("total") + F.col("lead_total")) * (THRESHOLD / (1 + THRESHOLD) * (1 - SLACK))
+        pairs = met.groupBy(F.greatest("rep", "lead_rep").alias("a"), F.least("rep", "lead_rep").alias("b")).agg(bound.alias("bound"), enough.alias("enough"))
+        pairs = pairs.where("bound >= enough").select("a", "b").join(tried, ["a", "b"], "left_anti")
+        checked = materialise(similar(materialise(pairs, "near-pairs"), texts, shipped), "near-checked")
+        named = relabel(named, checked.where("alike"))
+        if step == 0:  # all have led
+            return named
+        rows = rows.where(~leads).drop("label")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -304,8 +370,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
     rows = materialise(signed(docs, shipped, text, doc_id), "near-signed")
     reps = materialise(rows.groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "near-reps")
     edges = links(spark, reps.where("rep IS NOT NULL").select("rep", "bands"), docs, shipped, text, doc_id)
-    classes = components(edges)
-    named = materialise(reps.join(classes, F.col("rep") == F.col("id"), "left").select("digest", F.coalesce("label", "rep").alias("class_id")), "near-classes")
+    named = materialise(reps.join(edges, F.col("rep") == F.col("a"), "left").select("digest", F.coalesce("b", "rep").alias("class_id")), "near-classes")
     kind = docs.schema[doc_id].dataType
     joined = rows.select("id", "digest").join(named, "digest")
     return joined.select(F.col("id").cast(kind).alias(doc_id), F.col("class_id").cast(kind).alias("class_id"), F.col("id").eqNullSafe(F.col("class_id")).alias("kept"))

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 from collections import Counter, defaultdict
@@ -189,3 +190,35 @@ def test_result_equals_sql(spark, name):
     assert sorted(res.columns) == columns
     order = [list(res.columns).index(c) for c in columns]
     assert Counter(repr([r[c] for c in columns]) for r in df.collect()) == Counter(repr([r[i] for i in order]) for r in res.fetchall())
+
+
+def linked(spark, docs, rows, bands):
+    """Classes of more than one text by the given bands, as `id: smallest id`."""
+    df = docs(rows)
+    reps = spark.createDataFrame([(i, b) for (i, _), b in zip(rows, bands)], "rep LONG, bands ARRAY<LONG>")
+    shipped = spark.sparkContext.broadcast(neardup.frequency_sketch(df, "text"))
+    edges = neardup.links(spark, reps, df, shipped, "text", "doc_id")
+    return {r.id: r.label for r in neardup.components(edges).collect()}
+
+
+def test_chains_of_four_in_one_bucket_in_every_order(spark, docs):
+    rows, bands, want = [], [], {}
+    for n, order in enumerate(itertools.permutations(range(4))):
+        words, chain = [f"f{n}w{k}" for k in range(140)], []
+        for step in range(4):  # each is near the one before only
+            for at in (10 + 20 * step, 20 + 20 * step) if step else ():
+                words[at] = f"f{n}x{at}"
+            chain.append(" ".join(words))
+        for k, at in enumerate(order):
+            rows.append((10 * n + k, chain[at]))
+            bands.append([n] + [1000 + 100 * len(rows) + j for j in range(15)])
+            want[10 * n + k] = 10 * n
+    assert linked(spark, docs, rows, bands) == want
+
+
+def test_a_pair_in_a_crowded_bucket_of_unlike_texts(spark, docs):
+    shared = [f"s{k}" for k in range(150)]
+    rows = [(k, " ".join(shared + [f"t{k}_{j}" for j in range(60)])) for k in range(40)]
+    rows += [(98, rows[39][1] + " one more"), (99, rows[38][1] + " another end")]
+    bands = [[7] + [1000 + 100 * i + j for j in range(15)] for i, _ in rows]
+    assert linked(spark, docs, rows, bands) == {39: 39, 98: 39, 38: 38, 99: 38}
