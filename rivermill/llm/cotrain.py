@@ -1,8 +1,8 @@
 """Quality classifier by co-training: a text-content view and a page-metadata view teach each other, then both score all rows.
 
-Each view is a logistic regression over hashed tokens. Rounds start from labelled rows; then each view labels the rows of
-an unlabelled pool that it is sure of, and the other view learns from them too. What the models are fitted on is bounded:
-`LABELLED` labelled and `POOL` unlabelled rows, the first in the order of hashed ids; a fifth of the labelled rows is kept aside
+Each view is a logistic regression over hashed tokens. Rounds start from labelled rows; then each view labels all
+unlabelled rows that it is sure of, and the other view learns from them too. Only the labelled rows are bounded:
+`LABELLED`, the first in the order of hashed ids; a fifth of the labelled rows is kept aside
 for calibration (Platt scaling of each view). The score is the sum of the calibrated log odds less the prior's, as for views
 that are independent given the class. Every row is scored on its whole text.
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from rivermill.llm.shared import words
 from rivermill.session import materialise
 
-LABELLED, POOL, ROUNDS = 8000, 8000, 2
+LABELLED, ROUNDS = 8000, 2
 SURE = 0.97
 CONTENT_BITS, META_BITS = 14, 10
 ITERATIONS, PENALTY = 25, 1e-4
@@ -98,13 +98,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
         return {}, prior
     aside = F.pmod(F.xxhash64(F.col("id"), F.lit("aside")), F.lit(5)) == 0
     learning, calibration = rows.where(~aside).cache(), rows.where(aside)
-    others = docs.join(known, F.col(doc_id) == F.col("_of"), "left_anti").select(F.col(doc_id).alias("_of")).where("_of IS NOT NULL")
-    others = materialise(others.orderBy(F.xxhash64("_of"), "_of").limit(POOL), "cotrain-pool")
-    pool = materialise(features(docs.join(F.broadcast(others), F.col(doc_id) == F.col("_of"), "left_semi"), text, doc_id), "cotrain-unlabelled")
+    others = docs.join(known, F.col(doc_id) == F.col("_of"), "left_anti").where(F.col(doc_id).isNotNull())
+    pool = materialise(features(others, text, doc_id), "cotrain-unlabelled")
     sets = {view: learning for view in VIEWS}
     models = {view: _fit(sets[view], view) for view in VIEWS}
-    for round_ in range(ROUNDS):
-        guessed = materialise(_scored(pool, models), f"cotrain-round{round_}")
+    for _ in range(ROUNDS):
+        guessed = _scored(pool, models)  # scored anew per fit: less than writing all vectors again
         for view, other in zip(VIEWS, VIEWS[::-1]):
             p = 1 / (1 + F.exp(-F.col(f"{other}_raw")))
             sure = guessed.select("id", *VIEWS, F.when(p >= SURE, 1.0).when(p <= 1 - SURE, 0.0).alias("label")).where("label IS NOT NULL")

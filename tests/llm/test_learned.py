@@ -75,3 +75,12 @@ def test_odd_rows_are_scored(spark, docs, odd_rows):
     labels = spark.createDataFrame([(k, k % 2) for k in range(1, 10)], "doc_id LONG, quality INT")
     got = cotrain.score(docs(odd_rows, clash=True), labels).collect()
     assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got) and len({r.score for r in got if r.doc_id == 6}) == 1
+
+
+def test_all_unlabelled_rows_take_part(spark, docs, monkeypatch):
+    say = lambda k: ("BUY NOW $$$", "shop") if k % 2 else ("calm river story", "book")
+    rows = [(k, say(k)[0], "en", say(k)[1]) for k in range(9000)]
+    fit, seen = cotrain._fit, []
+    monkeypatch.setattr(cotrain, "_fit", lambda rows, view: seen.append(rows.count()) or fit(rows, view))
+    cotrain.train(docs(rows), spark.createDataFrame([(k, 1 - k % 2) for k in range(100)], "doc_id LONG, quality INT"), "text", "doc_id", "quality")
+    assert len(seen) == 6 and all(n == seen[0] + 8900 for n in seen[2:])
