@@ -1,8 +1,8 @@
 """Language identification by compression: the language whose text helps most to compress a document is its language.
 
-A language's model is a zstandard raw-content dictionary: sample texts one after the other. The sample of a language are the
-`SAMPLE_TEXTS` labelled texts that come first in a seeded order of ids, of at most `SAMPLE_TEXT_BYTES` each, as many as fit into
-`DICTIONARY_BYTES`. Texts are reduced to their letters in lower case first. A document is compressed with every dictionary in blocks of `BLOCK_BYTES`, all of it, so the
+A language's model is a zstandard raw-content dictionary: sample texts one after the other. Labelled texts
+are cut into pieces of at most `SAMPLE_TEXT_BYTES`; the sample of a language are its distinct pieces in the order of their hash,
+as many as fit into `DICTIONARY_BYTES`. Texts are reduced to their letters in lower case first. A document is compressed with every dictionary in blocks of `BLOCK_BYTES`, all of it, so the
 dictionary counts in a long text as much as in a short one; the smallest sum wins. A margin below `MARGIN` is
 narrow: `rejected` says so, and the best guess is given all the same. Equal sizes go to the language that comes first
 by code point. A null text, or one without a letter, is `und` with score 0, and so is any text if nothing was learned.
@@ -18,10 +18,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from rivermill.session import materialise
 
 UNKNOWN = "und"
-SAMPLE_TEXTS, SAMPLE_TEXT_BYTES, DICTIONARY_BYTES = 256, 8 << 10, 64 << 10
+SAMPLE_TEXT_BYTES, DICTIONARY_BYTES = 8 << 10, 64 << 10
+#: What is read for a dictionary, as a multiple of its bytes, so that it fills up whatever the share of letters.
+SPARE = 8
 BLOCK_BYTES, LEVEL, MARGIN = 4 << 10, 6, 0.01
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -33,15 +36,21 @@ def letters(text: str | None) -> str:
 
 def learn(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict[str, bytes]:
     """Dictionary per language from the rows where `usable`. The bounds above bound what comes to the driver per language."""
-    size = F.octet_length(text)
-    known = docs.where(usable & F.col(lang).isNotNull() & (size > 0) & (size <= SAMPLE_TEXT_BYTES))
-    order = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i", "t")
-    first = known.select(F.col(lang).alias("l"), F.col(doc_id).alias("i"), F.col(text).alias("t")).withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_TEXTS)
+    known = docs.where(usable & F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.col(text).alias("t"))
+    span = SAMPLE_TEXT_BYTES // 4  # characters of four bytes at most
+    starts = F.sequence(F.lit(1), F.greatest(F.length("t"), F.lit(1)), F.lit(span))
+    cut = F.when(F.octet_length("t") <= SAMPLE_TEXT_BYTES, F.array("t")).otherwise(F.transform(starts, lambda k: F.substring("t", k, F.lit(span))))
+    pieces = known.select("l", F.explode(cut).alias("t")).withColumn("h", F.xxhash64("t"))
+    size = F.octet_length(F.regexp_replace("t", r"[^\p{L}]+", " ")).cast("long")
+    keys = materialise(pieces.where(F.col("t").rlike(r"\p{L}")).groupBy("l", "h").agg(F.max(size).alias("size")), "langid-pieces")
+    share = SPARE * DICTIONARY_BYTES * (1 << 30) / F.col("total")
+    chosen = keys.join(keys.groupBy("l").agg(F.sum("size").alias("total")), "l").where(F.pmod("h", F.lit(1 << 30)) < share).select("l", "h")
+    found = pieces.join(F.broadcast(chosen), ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t"))
     held: dict[str, list[bytes]] = {}
-    for row in sorted(first.select("l", "k", "t").collect()):
+    for row in sorted(found.select("l", "h", "t").collect()):
         raw = letters(row["t"]).encode()
         parts = held.setdefault(row["l"], [])
-        if sum(map(len, parts)) + len(raw) <= DICTIONARY_BYTES:
+        if sum(map(len, parts)) + len(raw) + len(parts) <= DICTIONARY_BYTES:
             parts.append(raw)
     return {name: b"\n".join(parts) for name, parts in sorted(held.items())}
 

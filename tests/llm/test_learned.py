@@ -77,6 +77,17 @@ def test_odd_rows_are_scored(spark, docs, odd_rows):
     assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got) and len({r.score for r in got if r.doc_id == 6}) == 1
 
 
+def test_long_texts_and_copies_are_learned_from(spark, docs):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    rows = [(k, " ".join(word() for _ in range(3000)), "long") for k in range(6)]
+    rows += [(100 + k, "copied text", "copies") for k in range(600)] + [(1000 + k, f"rare {word()}", "copies") for k in range(20)]
+    rows += [(2000 + k, " ".join(word() for _ in range(12)), "short") for k in range(1500)]
+    learned = langid.learn(docs(rows), F.lit(True))
+    assert all(0.85 * langid.DICTIONARY_BYTES < len(learned[name]) <= langid.DICTIONARY_BYTES for name in ("long", "short"))
+    assert sorted(learned["copies"].decode().split("\n")) == sorted(["copied text", *[t for _, t, name in rows if t.startswith("rare")]])
+
+
 def test_all_unlabelled_rows_take_part(spark, docs, monkeypatch):
     say = lambda k: ("BUY NOW $$$", "shop") if k % 2 else ("calm river story", "book")
     rows = [(k, say(k)[0], "en", say(k)[1]) for k in range(9000)]
