@@ -77,7 +77,38 @@ x AS (SELECT d.*, source_size, target, CASE WHEN size > 0 THEN whole + (sum(size
 
 _MIX = "WITH " + MIX_CTES.format("documents") + " SELECT doc_id, size, source_size, target, size * times AS taken FROM x"
 
+
+
+def _codes() -> str:
+    """Rounds one after the other; whole numbers throughout."""
+    parts, entries, rounds = 8, 16, 6
+    nearest = """a{0} AS MATERIALIZED (
+  SELECT rid, part, arg_min(e, (d, e)) AS e, min(d)::BIGINT AS d
+  FROM (SELECT rid, part, e, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::HUGEINT AS d FROM p JOIN c{0} USING (part))
+  GROUP BY rid, part)"""
+    renewed = """c{1} AS MATERIALIZED (
+  SELECT c.part, c.e, coalesce(m.c, c.c) AS c
+  FROM c{0} c LEFT JOIN (
+    SELECT part, e, list((s - ((s % n) + n) % n) // n ORDER BY i)::BIGINT[] AS c
+    FROM (SELECT part, e, i, sum(x[i])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{0} JOIN p USING (rid, part), range(1, 9) g(i) GROUP BY part, e, i)
+    GROUP BY part, e) m ON m.part = c.part AND m.e = c.e)"""
+    steps = [step for r in range(rounds) for step in (nearest.format(r), renewed.format(r, r + 1))] + [nearest.format(rounds)]
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT rid, part, list_slice(v, part * 8 + 1, part * 8 + 8) AS x FROM k, range({parts}) t(part)),
+c0 AS MATERIALIZED (
+  SELECT part, e, x AS c FROM p JOIN (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k QUALIFY e < {entries}) USING (rid)),
+{", ".join(steps)},
+r AS (SELECT rid, string_agg(format('{{:02x}}', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM k JOIN r USING (rid) CROSS JOIN h
+"""
+
+
 ORACLE = {
+    "op11_vector_codes": _codes(),
     "op3_quality_rules": _RULES,
     "op5_chat_formatting": _CHAT,
     "op6_warc": _WARC,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.llm import arc, chat, cotrain, exact, langid, mixing, neardup, pieces, rules, shards
+from rivermill.llm import arc, chat, codes, cotrain, exact, langid, mixing, neardup, pieces, rules, shards, spelling, tokenfiles
 from rivermill.llm.oracle import ORACLE
 from rivermill.llm.shared import word_count
 from rivermill.session import drop_path, fresh_path, materialise
@@ -13,6 +14,8 @@ from rivermill.session import drop_path, fresh_path, materialise
 SHARDS = 8
 #: The model file of the sentence pieces, as the driver sees it.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The library's file of the token ids, and the id that ends a document.
+WORD_MODEL, END_ID = public_tokenizers.path("word_bpe_49k.json"), 2
 #: Rows with this remainder of crc32(doc_id as text) are never learned from.
 FOLDS, HELD_OUT = 5, 0
 
@@ -77,6 +80,24 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    path, index = fresh_path(spark, "token-ids"), fresh_path(spark, "token-index")
+    tokenfiles.write_ids(docs, path, WORD_MODEL, END_ID)
+    tokenfiles.build_index(spark, path, index)
+    back = tokenfiles.read_documents(spark, path, index, docs.select(F.col("doc_id").alias("key")))
+    return back.select(F.col("key").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_sharding": sharding,
     "op2_quality_classifier": quality_classifier,
@@ -88,4 +109,7 @@ QUERIES = {
     "op8_minhash_near_dedup": minhash_near_dedup,
     "op9_exact_dedup": exact_dedup,
     "op10_mixing": source_mixing,
+    "op11_vector_codes": vector_codes,
+    "op12_spelling_variants": spelling_variants,
+    "op13_token_files": token_files,
 }
