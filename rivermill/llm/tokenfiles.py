@@ -18,13 +18,14 @@ numbers.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -35,9 +36,15 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 #: Bytes of text per shard, and keys per part of the index.
-SHARD_BYTES, KEYS_PER_PART = 32 << 20, 4096
-#: Bytes of text encoded at once; words and characters that an encoder remembers.
-CHUNK_BYTES, HELD_WORDS, HELD_CHARS = 1 << 20, 1 << 19, 1 << 26
+SHARD_BYTES, KEYS_PER_PART = 16 << 20, 4096
+#: Bytes of text encoded at once; words and characters that an encoder remembers, and the length of those it does not.
+CHUNK_BYTES, HELD_WORDS, HELD_CHARS, LONG_WORD = 1 << 21, 3 << 18, 1 << 24, 64
+#: Letters taken to the model itself, how it writes bytes, what a model that can be read word by word does to a text, and how it cuts it.
+LATIN = frozenset(map(chr, range(0x100)))
+#: Printable bytes stand for themselves, the others for what follows 0xFF, in order.
+BYTES = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
+STEPS = ["NFC", "Replace", "Lowercase"]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MAGIC, FOOT, FOOT_BYTES = b"RMTOKIDS", "<qqq8s", 32
 #: Bits per key of a level: at 1.5 about half of the keys are alone.
 ROOM = 1.5
@@ -51,42 +58,84 @@ _U = np.uint64
 class Encoder:
     """The library's ids, with words encoded once.
 
-    The model drops white space and never joins what stands on two sides of it, so a text's ids are those of its pieces
-    between spaces and line ends, one after the other.
+    A model that lower-cases, drops white space and cuts texts by `PATTERN` never joins what stands on two sides of a blank,
+    nor a letter and a full stop or comma. So a text's ids are those of its pieces between spaces and line ends, and those
+    of `Word,` are those of `word` and `,`. Texts of any other model are encoded whole.
     """
 
     def __init__(self, model: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.model = Tokenizer.from_str(model)
-        self.forget()
+        said = json.loads(model)
+        steps = [s["type"] for s in (said.get("normalizer") or {}).get("normalizers", [])]
+        cut = ((said.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+        self.by_word = steps == STEPS and cut.get("pattern") == {"Regex": PATTERN} and cut.get("invert") is True
+        self.codes: dict[str, int] = {}
+        self.ids, self.starts, self.lengths, self.uses, self.chars = np.zeros(0, np.uint32), *(np.zeros(0, np.int64) for _ in range(3)), 0
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
-        self.ids, self.starts, self.lengths, self.chars = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        """Keeps the words that were used again since the last time."""
+        kept = {w: c for w, c in self.codes.items() if self.uses[c] > 1 and len(w) < LONG_WORD}
+        old, place = np.unique(np.fromiter(kept.values(), np.int64, len(kept)), return_inverse=True)
+        ids, lengths = self.gather(old), self.lengths[old]
+        self.codes = dict(zip(kept, place.tolist()))
+        self.ids, self.starts, self.lengths, self.uses = ids, np.cumsum(lengths) - lengths, lengths, np.zeros(len(old), np.int64)
+        self.chars = sum(map(len, kept))
+
+    def gather(self, code: np.ndarray) -> np.ndarray:
+        lengths = self.lengths[code]
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def learn(self, words: list[str]) -> None:
-        found = self.model.encode(words, is_pretokenized=True, add_special_tokens=False)
-        lengths = np.bincount(np.array(found.word_ids, np.int64), minlength=len(words))
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.codes.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words))))
         self.starts = np.append(self.starts, len(self.ids) + np.cumsum(lengths) - lengths)
-        self.ids = np.append(self.ids, np.array(found.ids, np.uint32))
-        self.lengths = np.append(self.lengths, lengths)
-        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + len(words))))
+        self.ids, self.lengths = np.append(self.ids, ids), np.append(self.lengths, lengths)
+        self.uses = np.append(self.uses, np.zeros(len(words), np.int64))
         self.chars += sum(map(len, words))
 
+    def learn(self, words: list[str]) -> None:
+        plain, other = {}, [".", ","]
+        for w in words:
+            base = w[:-1] if w[-1:] in (".", ",") else w
+            if base.isalpha() and (base.isascii() or LATIN.issuperset(base)):
+                plain[w] = base.lower()
+            else:
+                other.append(w)
+        bases, other = list(set(plain.values()).difference(self.codes)), list(set(other).difference(self.codes))
+        # of lower-case Latin letters, written as the model writes their bytes, the model itself gives what the whole way gives
+        tokenize, ids, lengths = self.model.model.tokenize, [], []
+        for w in bases:
+            found = tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(BYTES))
+            lengths.append(len(found))
+            ids.extend([t.id for t in found])
+        self.add(bases, np.array(ids, np.uint32), np.array(lengths, np.int64))
+        if other:
+            found = self.model.encode(other, is_pretokenized=True, add_special_tokens=False)
+            self.add(other, np.array(found.ids, np.uint32), np.bincount(np.array(found.word_ids, np.int64), minlength=len(other)))
+        codes = self.codes
+        codes.update([(w, codes[base]) for w, base in plain.items() if len(w) == len(base)])
+        if marked := [w for w, base in plain.items() if len(w) > len(base)]:
+            both = np.array([(codes[plain[w]], codes[w[-1]]) for w in marked])
+            self.add(marked, self.gather(both.ravel()), self.lengths[both].sum(axis=1))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many are each text's."""
+        if not self.by_word:
+            found = [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
         if len(self.codes) > HELD_WORDS or self.chars > HELD_CHARS:
             self.forget()
         split = [t.replace("\n", " ").split(" ") for t in texts]
         words = list(chain.from_iterable(split))
-        if new := set(words) - self.codes.keys():
-            self.learn(sorted(new))
-        code = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        lengths = self.lengths[code]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.starts[code] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        code = np.fromiter(map(self.codes.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(code < 0)
+        if len(unknown):
+            self.learn(list({words[k]: None for k in unknown}))
+            code[unknown] = [self.codes[words[k]] for k in unknown]
+        self.uses += np.bincount(code, minlength=len(self.uses))
         first = np.cumsum([0, *map(len, split[:-1])])
-        return self.ids[at], np.add.reduceat(lengths, first)
+        return self.gather(code), np.add.reduceat(self.lengths[code], first)
 
 
 @lru_cache(maxsize=1)

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -34,6 +35,22 @@ def test_words_encoded_once_give_the_librarys_ids(texts):
             assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [ids_of(t)[:-1] for t in part]
 
 
+@pytest.mark.parametrize("held", [0, 8, 1 << 19])
+def test_words_that_return_and_marks_next_to_them(monkeypatch, held):
+    monkeypatch.setattr(tokenfiles, "HELD_WORDS", held)
+    encoder, texts = tokenfiles.Encoder(LIBRARY.to_str()), ["Word, word. WORD word., wor'd. İx. . , ., a. A.", "", "word, A. b", "x" * 100 + ". end", "".join(map(chr, range(256))), " ".join(map(chr, range(0x250))), "Éàÿß. ÀÞ, ªº µ"]
+    for part in (texts, ODD, texts[:1], texts * 2, ODD):
+        flat, counts = encoder.encode(part)
+        assert encoder.by_word and [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [ids_of(t)[:-1] for t in part]
+
+
+def test_another_model_is_encoded_whole():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = tokenfiles.Encoder(library.to_str())
+    flat, counts = encoder.encode(ODD)
+    assert not encoder.by_word and [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in ODD]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 5000])
 def test_perfect_hash_is_minimal_and_knows_strangers(n):
     keys = np.random.default_rng(n).integers(-(2**63), 2**63 - 1, n)
