@@ -73,7 +73,9 @@ def swapped_answers(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """Rejected conversations where the table has none: the last assistant text is that of the neighbouring key.
 
     Keys 2k and 2k+1 lend each other their last answer. A conversation without an answer or a neighbour stays as it is.
+    Further columns are left out before anything meets, so their names do not matter.
     """
+    turns = turns.select(key, "turn", "role", "text")
     last = turns.where(F.col("role") == TRAINED).groupBy(key).agg(F.max(F.struct("turn", "text")).alias("_last"))
     own = last.select(F.col(key).alias("_own"), F.col("_last.turn").alias("_turn"))
     lent = last.select(F.col(key).bitwiseXOR(F.lit(1)).alias("_to"), F.col("_last.text").alias("_lent"))

@@ -1,7 +1,7 @@
 import pytest
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
-CLASH = ("size", "row", "shard", "slot", "bucket", "label", "id", "_text", "_tag", "_digest", "keep_id")
+CLASH = ("size", "row", "shard", "slot", "bucket", "label", "id", "_text", "_tag", "_digest", "keep_id", "_turn", "_own", "_lent", "_to", "_gone", "gone", "g", "d", "words", "t")
 
 
 @pytest.fixture(scope="session")

@@ -56,6 +56,16 @@ def test_swapped_answers_change_the_last_answer_only(spark):
     assert Counter(map(tuple, got)) == Counter([(0, 0, "user", "q"), (0, 1, "assistant", "first"), (0, 2, "assistant", "one"), (1, 0, "assistant", "zero"), *turns[4:]])
 
 
+def test_names_of_further_columns_do_not_matter(spark, tmp_path):
+    turns = [(k, t, ("user", "assistant")[t % 2], f"text {k} {t}") for k in range(6) for t in range(4)]
+    plain = spark.createDataFrame(turns, TURNS)
+    clash = plain.withColumns({c: F.lit("x") for c in ("_turn", "_own", "_lent", "_to", "_key", "_turns", "_c", "_r", "_last")})
+    plain.write.parquet(str(tmp_path / "plain" / "conversations.parquet"))
+    clash.write.parquet(str(tmp_path / "clash" / "conversations.parquet"))
+    one, other = (queries.chat_formatting(spark, str(tmp_path / d)) for d in ("plain", "clash"))
+    assert Counter(one.collect()) == Counter(other.collect()) and one.count() == 6
+
+
 PAGES = [
     (1, "http://a/x", "<p>" + "copy" * 40), (2, "http://b/ y\n", "<p>" + "copy" * 40), (3, None, None), (4, "http://c", ""), (5, "http://d", "short"), (6, "http://e", "short"),
     (7, "http://f", "WARC/1.1\r\n\r\n\r\nHTTP/1.1 200 OK\r\n\r\nhttp://z 0.0.0.0 20200101000000 text/html 5\n" * 3), (8, "http://g", "é日😀" * 30000), (2, "http://b/ y\n", "<p>" + "copy" * 40),
