@@ -59,6 +59,22 @@ def test_a_rejected_text_meets_no_later_rule(docs):
         docs([(1, TEXTS[1])]).select(verdict).collect()
 
 
+def test_judge_asks_no_later_rule_of_a_rejected_text(docs, monkeypatch):
+    broken = rules.Rule("broken", ("n_lines",), lambda n: F.when(n > 1, F.raise_error(F.lit("asked"))).otherwise(False))
+    first = rules.Rule("first", ("n_symbols",), lambda n: n > 3)
+    monkeypatch.setattr(rules, "measure", lambda *a: [rules.Measured(r, 1.0, 0.5) for r in (rules.TOO_SHORT, rules.REPETITIVE, first, broken)])
+    rows = [(1, "too\nshort"), (2, "same old words again " * 20 + "\nmore"), (3, "one two three four five six seven\neight nine ten eleven $$$$"), (4, "one two three four five six seven eight nine ten eleven")]
+    assert {r.doc_id: r.kept for r in rules.judge(docs(rows)).collect()} == {1: False, 2: False, 3: False, 4: True}
+    with pytest.raises(Exception, match="asked"):
+        rules.judge(docs([(5, "one two three four five six\nseven eight nine ten eleven")])).collect()
+
+
+def test_the_sample_does_not_depend_on_the_order_of_rows(docs, monkeypatch):
+    rows = [(k, f"text number {k} " + "$ " * (k % 9)) for k in range(300)]
+    shares = [sorted((m.rule.name, m.rejection) for m in rules.measure(docs(r).repartition(p), rules.RULES, rows=50)) for r, p in ((rows, 1), (rows[::-1], 5))]
+    assert shares[0] == shares[1]
+
+
 def test_no_documents(docs):
     assert rules.judge(docs([])).count() == 0 and rules.filter_quality(docs([])).count() == 0
     assert mixing.mix(docs([]), size=word_count).count() == 0
