@@ -10,12 +10,16 @@ the probability of their weighted Jaccard similarity. Texts that share a band ar
 sets, with the leader of that bucket, the member that shares the most buckets with others, unless they are in its class
 already; then the leader leaves and the next one leads, for `ROUNDS` rounds. The members of buckets that still hold more
 than one class meet anew by the rarest of their windows: as many as any two texts of at least the threshold must share
-one of. Those groups go on until nobody is left to lead. So every pair that shares a band is verified, in one class
+one of. There two are compared only if what both still have from that window on could reach the threshold, which is the
+case in one group of every similar pair: that of the rarest window they share. Those groups go on until nobody is left to
+lead. Texts are moved only if a bitmap of fixed size says that somebody asks for them. So every pair that shares a band is verified, in one class
 already, or below the threshold by an exact bound. Links of at least the threshold make classes; a class is named after
 its smallest id.
 
 A null or empty text has no windows and equals only its like; texts are equal when identical (null counts as empty). Ids are whole numbers. Rows that share an
 id are one document; a row without an id takes the class of its equals, and has none if no row with an id equals it.
+Texts of any length are compared whole; empty tables give empty results; further columns are carried by
+`drop_near_duplicates`, whatever their names, and left out by `near_duplicates`.
 """
 
 from __future__ import annotations
@@ -31,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivermill.session import materialise
+from rivermill.session import drop_path, fresh_path, materialise
 
 SPAN, THRESHOLD, IDF_SHARE = 5, 0.8, 0.25
 #: A pair of similarity 0.8 shares no band with a probability of 0.0002.
 BANDS, ROWS = 16, 4
-ROUNDS = 5
+ROUNDS = 2
 #: Growth of the number of leaders per round among crowded texts, and room for rounding in bounds on sums of weights.
 LEADERS, SLACK = 4, 1e-4
 #: Cells of the frequency sketch, and how it is cut for summing up: 64 strips of 64 KB, met over two stages.
@@ -200,6 +204,27 @@ def signed(docs: DataFrame, shipped, text: str, doc_id: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long"), text).mapInArrow(run, "id long, digest binary, bands array<long>")
 
 
+# -- steps ---------------------------------------------------------------------------------------------------------------
+
+
+class Steps:
+    """Written intermediate tables; those of a round go when it is over."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_path(self.spark, path)
+        self.paths.clear()
+
+
 # -- pairs ---------------------------------------------------------------------------------------------------------------
 
 
@@ -248,7 +273,8 @@ def postings(texts: DataFrame, shipped) -> DataFrame:
     """The rarest windows of every text (`rep`): what is left weighs less than the threshold's share of its `total`.
 
     Texts of at least the threshold share more than what is left of either, so one of these windows at least, by any order
-    of the windows that is the same for all texts. `rest` is the weight of what is left.
+    of the windows that is the same for all texts. `rest` is the weight of what is left, `ahead` that of the window and all
+    that come after it: what two texts can share at most if it is the first one that both have.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,10 +289,11 @@ def postings(texts: DataFrame, shipped) -> DataFrame:
                         continue
                     # a little more than needed, for sums that differ in their last bits
                     n = min(int(np.searchsorted(sums, sums[-1] * (1 - THRESHOLD * (1 - SLACK)), "right")) + 1, len(sums))
-                    columns = [own[order[:n]].view(np.int64), np.full(n, rep), weights[order[:n]].astype(np.float64), np.full(n, sums[-1]), np.full(n, sums[-1] - sums[n - 1])]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "rep", "weight", "total", "rest"])
+                    each = weights[order[:n]].astype(np.float64)
+                    columns = [own[order[:n]].view(np.int64), np.full(n, rep), each, np.full(n, sums[-1]), np.full(n, sums[-1] - sums[n - 1]), sums[-1] - sums[:n] + each]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["bucket", "rep", "weight", "total", "rest", "ahead"])
 
-    return texts.select("id", "text").mapInArrow(run, "bucket long, rep long, weight double, total double, rest double")
+    return texts.select("id", "text").mapInArrow(run, "bucket long, rep long, weight double, total double, rest double, ahead double")
 
 
 def relabel(named: DataFrame, edges: DataFrame) -> DataFrame:
@@ -289,25 +316,27 @@ def links(spark: SparkSession, reps: DataFrame, docs: DataFrame, shipped, text:
     place = F.struct("shares", (-F.col("rep")).alias("neg"))
     open_ = materialise(members.join(shares, "rep").select("bucket", "rep", place.alias("place")), "near-places")
     wanted = open_.select("rep").distinct()
-    texts = likely(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), wanted)
-    texts = materialise(texts.join(wanted, F.col("id") == F.col("rep"), "left_semi"), "near-texts")
+    # the bitmap lets a few more through, which nobody asks for; an exact join would move all texts
+    texts = materialise(likely(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), wanted), "near-texts")
     named = materialise(wanted.withColumn("label", F.col("rep")), "near-named")
-    tried, left = None, True
+    tried, left, old = None, True, Steps(spark)
     for _ in range(ROUNDS):
-        placed = materialise(open_.join(named, "rep"), "near-open")
+        own = Steps(spark)
+        placed = own.write(open_.join(named, "rep"), "near-open")
+        old.drop()
         top = placed.groupBy("bucket").agg(F.max(F.struct("place", "label")).alias("top"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-        top = materialise(top.where("lo <> hi").select("bucket", "top"), "near-leaders")
+        top = own.write(top.where("lo <> hi").select("bucket", "top"), "near-leaders")
         left = not top.isEmpty()
         if not left:  # no bucket holds two classes
             break
         # the leader meets all that are left of its bucket and leaves; those of its class need no comparison
-        asked = materialise(placed.join(top, "bucket").where("place < top.place").withColumn("lead", -F.col("top.place.neg")), "near-asked")
+        asked = own.write(placed.join(top, "bucket").where("place < top.place").withColumn("lead", -F.col("top.place.neg")), "near-asked")
         pairs = asked.where("label <> top.label").select(F.greatest("rep", "lead").alias("a"), F.least("rep", "lead").alias("b")).distinct()
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        checked = materialise(similar(materialise(pairs, "near-pairs"), texts, shipped), "near-checked")
+        checked = materialise(similar(own.write(pairs, "near-pairs"), texts, shipped), "near-checked")
         tried = checked if tried is None else tried.unionByName(checked)
         named = relabel(named, checked.where("alike"))
-        open_ = asked.select("bucket", "rep", "place")
+        open_, old = asked.select("bucket", "rep", "place"), own
     if left:
         named = crowded_links(open_, named, tried, texts, shipped)
     return named.where("label <> rep").select(F.col("rep").alias("a"), F.col("label").alias("b"))
@@ -317,36 +346,40 @@ def crowded_links(open_: DataFrame, named: DataFrame, tried: DataFrame, texts: D
     """`named` after all links among the members of buckets that still hold more than one class.
 
     Every round some texts lead, by their hash, in all their groups at once: `LEADERS` times as many as before, so that
-    large classes close before all meet all, and at last everybody. Who has led leaves.
+    large classes close before all meet all, and at last everybody. Who has led leaves. A member that could reach the
+    threshold with nobody of its group, by the smallest total and the largest room there, leaves before; and two meet
+    only where they could reach it if the group's window was the first they share, which it is for one of their groups.
     """
+    spark = open_.sparkSession
     mixed = open_.join(named, "rep").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
     reps = materialise(open_.join(materialise(mixed.select("bucket"), "near-mixed"), "bucket").select("rep").distinct(), "near-crowded")
-    posted = postings(texts.join(reps, F.col("id") == F.col("rep"), "left_semi"), shipped)
-    rows = materialise(posted, "near-postings")
-    step = None
+    old = Steps(spark)
+    rows = old.write(postings(likely(texts, reps), shipped).join(reps, "rep", "left_semi"), "near-postings")
+    share, step = THRESHOLD / (1 + THRESHOLD) * (1 - SLACK), None
     while True:
+        own = Steps(spark)
         rows = rows.join(named, "rep")
-        groups = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        groups = materialise(groups.select("bucket", "n"), "near-groups")
+        room = F.max(F.col("ahead") - F.col("total") * share)
+        groups = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("total").alias("least"), room.alias("room")).where("lo <> hi")
+        groups = own.write(groups.select("bucket", "n", "least", "room"), "near-groups")
         most = groups.agg(F.max("n")).first()[0]
         if most is None:
             return named
-        rows = materialise(rows.join(groups.select("bucket"), "bucket"), "near-grouped")
+        can = (F.col("ahead") >= (F.col("total") + F.col("least")) * share) & (F.col("room") >= F.col("total") * share)
+        rows = own.write(rows.join(groups.drop("n"), "bucket").where(can).drop("least", "room"), "near-grouped")
+        old.drop()
         step = max(0, math.ceil(math.log(most, LEADERS)) - 1) if step is None else max(0, step - 1)
         leads = F.pmod(F.xxhash64("rep"), F.lit(LEADERS**step)) == 0
-        lead = materialise(rows.where(leads).select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ("rep", "weight", "total", "rest", "label")]), "near-leaders")
+        lead = own.write(rows.where(leads).select("bucket", *[F.col(c).alias(f"lead_{c}") for c in ("rep", "weight", "total", "rest", "ahead", "label")]), "near-leaders")
         # of two leaders the smaller one asks; what both have posted and the larger rest bound what they share
         met = rows.join(lead, "bucket").where((F.col("label") != F.col("lead_label")) & (~leads | (F.col("rep") > F.col("lead_rep"))))
-        met = met.where(F.least("total", "lead_total") >= F.greatest("total", "lead_total") * (THRESHOLD * (1 - SLACK)))
-        bound = F.sum(F.least("weight", "lead_weight")) + F.max(F.greatest("rest", "lead_rest"))
-        enough = F.max(F.col("total") + F.col("lead_total")) * (THRESHOLD / (1 + THRESHOLD) * (1 - SLACK))
-        pairs = met.groupBy(F.greatest("rep", "lead_rep").alias("a"), F.least("rep", "lead_rep").alias("b")).agg(bound.alias("bound"), enough.alias("enough"))
-        pairs = pairs.where("bound >= enough").select("a", "b").join(tried, ["a", "b"], "left_anti")
-        checked = materialise(similar(materialise(pairs, "near-pairs"), texts, shipped), "near-checked")
+        met = met.where(F.least("ahead", "lead_ahead") >= (F.col("total") + F.col("lead_total")) * share)
+        pairs = met.select(F.greatest("rep", "lead_rep").alias("a"), F.least("rep", "lead_rep").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+        checked = materialise(similar(own.write(pairs, "near-pairs"), texts, shipped), "near-checked")
         named = relabel(named, checked.where("alike"))
         if step == 0:  # all have led
             return named
-        rows = rows.where(~leads).drop("label")
+        rows, old = rows.where(~leads).drop("label"), own
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -378,5 +411,5 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", do
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` that stand for their class, unchanged; rows without an id stay."""
-    gone = materialise(near_duplicates(spark, docs, text, doc_id).where("NOT kept").select(F.col(doc_id).alias("_gone")), "near-gone")
-    return docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    gone = materialise(near_duplicates(spark, docs, text, doc_id).where("NOT kept").select(F.col(doc_id).alias("gone")), "near-gone")
+    return docs.alias("d").join(gone.alias("g"), F.col(f"d.{doc_id}") == F.col("g.gone"), "left_anti")

@@ -23,7 +23,7 @@ def classes_by_hand(rows, threshold=0.8):
     sets = {t: window_counts(t) for t in {t or "" for _, t in rows}}
     n = len(rows)
     df = Counter(g for _, t in rows for g in sets[t or ""])
-    weigh = lambda s: {g: c * (1 + neardup.IDF_SHARE * math.log((n + 1) / (df[g] + 1)) / math.log(n + 1)) for g, c in s.items()}
+    weigh = lambda s: {g: c * (1 + 0.25 * math.log((n + 1) / (df[g] + 1)) / math.log(n + 1)) for g, c in s.items()}
     weights = {t: weigh(s) for t, s in sets.items()}
     holders = defaultdict(list)
     for t, s in sets.items():
@@ -170,9 +170,17 @@ def test_stages_return_the_columns_of_documents_and_take_no_rows(spark, docs):
         assert out.count() == 0 and (name == corpus_pipeline.STAGES[-1][0] or out.columns == df.columns)
 
 
+def test_stages_carry_columns_of_any_name(spark, docs):
+    df = docs([(k, " ".join(f"w{k}x{j}" for j in range(20)), "en", f"s{k % 3}") for k in range(30)] * 2, clash=True)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, "unused")
+        assert out.columns == df.columns and out.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, df, "unused").count() == 60
+
+
 def test_every_operator_is_registered():
     names = set(contract.queries())
-    assert set(queries.QUERIES) | {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert set(queries.QUERIES) | {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(contract.oracle_sql()) & set(queries.QUERIES) == set(queries.ORACLE)
 
 
@@ -182,7 +190,7 @@ def test_result_equals_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
     df = queries.QUERIES[name](spark, sf)
     res = con.sql(queries.ORACLE[name])
@@ -222,3 +230,15 @@ def test_a_pair_in_a_crowded_bucket_of_unlike_texts(spark, docs):
     rows += [(98, rows[39][1] + " one more"), (99, rows[38][1] + " another end")]
     bands = [[7] + [1000 + 100 * i + j for j in range(15)] for i, _ in rows]
     assert linked(spark, docs, rows, bands) == {39: 39, 98: 39, 38: 38, 99: 38}
+
+
+def test_unlike_texts_around_one_passage_meet_few_others(spark, docs, monkeypatch):
+    """What is compared stays in proportion to the texts, though all of them share a bucket and the passage."""
+    shared = [f"s{k}" for k in range(150)]
+    rows = [(k, " ".join(shared + [f"t{k}_{j}" for j in range(60)])) for k in range(2000)]
+    rows += [(5000 + k, rows[k][1] + " one more") for k in range(0, 2000, 40)]
+    bands = [[7] + [100_000 + 100 * i + j for j in range(15)] for i, _ in rows]
+    met, plain = [], neardup.similar
+    monkeypatch.setattr(neardup, "similar", lambda pairs, *rest: (met.append(pairs.count()), plain(pairs, *rest))[1])
+    want = {**{k: k for k in range(0, 2000, 40)}, **{5000 + k: k for k in range(0, 2000, 40)}}
+    assert linked(spark, docs, rows, bands) == want and sum(met[2:]) < len(rows)
