@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from rivermill.functions.columns import cyclic, from_log
 from rivermill.functions.ordered import exact_quantiles
 from rivermill.operators.evaluate import flow_weights, kge_loss, kge_m3s
 from rivermill.operators.flow import flow_features
+from rivermill.operators.ridge import Ridge, moments, solve, total
 from rivermill.operators.sequences import lead_matrix, trend_slope, weather_lag_block
 from rivermill.operators.splits import drop_incomplete, fold_roles, keep_tail, numbered, split_fit_val_test
 from rivermill.session import materialise
@@ -150,28 +150,40 @@ def sequence_statistics(windows: DataFrame) -> DataFrame:
     return cells.groupBy("input").agg(F.avg(F.col("v").cast("double")).alias("mean"), F.stddev_pop(F.col("v").cast("double")).alias("std"))
 
 
-def fit_sequence_model(windows: DataFrame, horizon: int) -> list[PipelineModel]:
-    """Direct multi-step regression on flattened windows: one linear model per lead."""
-    flat = flatten_windows(windows)
-    scaler = StandardScaler(inputCol="flat", outputCol="scaled", withMean=True, withStd=True).fit(flat)
-    rows = scaler.transform(flat)
-    models = []
-    for k in range(horizon):
-        lin = LinearRegression(featuresCol="scaled", labelCol="target", predictionCol=f"seq_{k + 1}", regParam=0.01, elasticNetParam=0.0)
-        fitted = lin.fit(rows.withColumn("target", F.col("y")[k]))
-        models.append(PipelineModel(stages=[scaler, fitted] if k == 0 else [fitted]))
-    return models
+def flatten_windows(windows: DataFrame) -> DataFrame:
+    return windows.withColumn("flat", F.flatten("x").cast("array<double>"))
 
 
-def flatten_windows(windows: DataFrame) -> DataFrame:
-    return windows.withColumn("flat", array_to_vector(F.flatten("x").cast("array<double>")))
+def first_targets(horizon: int) -> Column:
+    return F.slice("y", 1, horizon)
+
+
+def fit_sequence_model(windows: DataFrame, horizon: int, penalty: float = 0.01) -> Ridge:
+    """Direct multi-step regression on flattened windows: all leads from one pass; `penalty` per row."""
+    m = total(moments(flatten_windows(windows), F.col("flat"), first_targets(horizon)))
+    return solve(m, ["flat"], horizon, penalty * m.n, "seq")
+
 
+def out_of_fold_sequences(windows: DataFrame, axis: Axis, k: int, gap: int, horizon: int, penalty: float = 0.01) -> DataFrame:
+    """Each validation window predicted by a model, and a scaling, of earlier windows only: (site, ts, fold, y, seq).
+
+    Windows with the same roles in all folds are summed up once; a fold's training sum is the sum of those, so one pass
+    over the windows fits all folds.
+    """
+    base = materialise(flatten_windows(numbered(windows, axis)).withColumn("_folds", fold_roles(k, gap)), "sequence-folds")
+    in_training = F.transform(F.filter("_folds", lambda f: f["role"] == "train"), lambda f: f["fold"].cast("string"))
+    parts = moments(base, F.col("flat"), first_targets(horizon), F.array_join(in_training, ","))
+    done = None
+    for fold in range(k):
+        m = total(parts, lambda part: str(fold) in part.split(","))
+        held = base.where(F.exists("_folds", lambda f: (f["fold"] == fold) & (f["role"] == "val"))).withColumn("fold", F.lit(fold))
+        own = solve(m, ["flat"], horizon, penalty * m.n, "seq").transform(held).select("site", "ts", "fold", "y", "seq")
+        done = own if done is None else done.unionByName(own)
+    return materialise(done, "sequence-oof")
 
-def predict_sequences(models: list[PipelineModel], windows: DataFrame) -> DataFrame:
-    df = flatten_windows(windows)
-    for m in models:
-        df = m.transform(df)
-    return df.select("site", "ts", F.array(*[f"seq_{k + 1}" for k in range(len(models))]).alias("seq"))
+
+def predict_sequences(model: Ridge, windows: DataFrame) -> DataFrame:
+    return model.transform(flatten_windows(windows)).select("site", "ts", "seq")
 
 
 def meta_columns(horizon: int, weather: list[str]) -> list[str]:
@@ -240,61 +252,34 @@ def known_targets(meta: DataFrame) -> DataFrame:
     return meta.where(ok & F.col("q_now_log").isNotNull())
 
 
-class Stack:
-    """Standardised ridge regression, one output per lead."""
-
-    def __init__(self, columns: list[str], scale: dict, models: list):
-        self.columns, self.scale, self.models = columns, scale, models
-
-    def transform(self, meta: DataFrame) -> DataFrame:
-        df = _scaled(meta, self.columns, self.scale)
-        for k, m in enumerate(self.models, 1):
-            df = m.setPredictionCol(f"_p{k}").transform(df)
-        preds = F.array(*[f"_p{k}" for k in range(1, len(self.models) + 1)])
-        return df.withColumn("stacked", preds).drop("scaled", *[f"_p{k}" for k in range(1, len(self.models) + 1)])
+def fit_ridge(rows: DataFrame, columns: list[str], horizon: int, alpha: float = 1.0, scale: tuple[list[float], list[float]] | None = None) -> Ridge:
+    """Ridge with penalty `alpha` on standardised inputs, all leads at once."""
+    return solve(total(moments(rows, F.array(*columns), first_targets(horizon))), columns, horizon, alpha, scale=scale)
 
 
-def _scaled(df: DataFrame, columns: list[str], scale: dict) -> DataFrame:
-    cells = [((F.col(c) - F.lit(scale[c][0])) / F.lit(scale[c][1])) for c in columns]
-    return df.withColumn("scaled", array_to_vector(F.array(*cells)))
-
-
-def scaling(rows: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population spread per column; a constant column is only centred."""
-    stats = rows.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-    return {c: (stats[f"m_{c}"], stats[f"s_{c}"] if stats[f"s_{c}"] else 1.0) for c in columns}
-
-
-def fit_ridge(rows: DataFrame, columns: list[str], horizon: int, alpha: float = 1.0, scale: dict | None = None) -> Stack:
-    """Ridge with penalty `alpha` on standardised inputs.
-
-    Spark averages the squared error and rescales the label, so the same penalty is alpha / n times the
-    spread of the label.
-    """
-    scale = scale or scaling(rows, columns)
-    data = materialise(_scaled(rows, columns, scale).select("scaled", "y"), "ridge-rows")
-    facts = data.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(F.col("y")[k]).alias(f"s{k}") for k in range(horizon)]).first()
-    models = []
-    for k in range(horizon):
-        lin = LinearRegression(
-            featuresCol="scaled", labelCol="label", elasticNetParam=0.0, standardization=False, solver="normal",
-            regParam=alpha / facts["n"] * facts[f"s{k}"],
-        )
-        models.append(lin.fit(data.select("scaled", F.col("y")[k].alias("label"))))
-    return Stack(columns, scale, models)
+def stack_parts(meta: DataFrame, axis: Axis, horizon: int, weather: list[str]) -> tuple[DataFrame, dict]:
+    """Rows with their role in time, and the sums of every role."""
+    split = materialise(split_fit_val_test(known_targets(meta), axis), "meta-rows")
+    return split, moments(split, F.array(*meta_columns(horizon, weather)), first_targets(horizon), F.col("role"))
 
 
-def fit_stacking(meta: DataFrame, axis: Axis, horizon: int, weather: list[str], alpha: float = 1.0) -> tuple[Stack, DataFrame]:
+def fit_stacking(meta: DataFrame, axis: Axis, horizon: int, weather: list[str], alpha: float = 1.0) -> tuple[Ridge, DataFrame]:
     """The served model uses all rows; a second one on the fit slice gives honest scores per slice."""
     columns = meta_columns(horizon, weather)
-    split = materialise(split_fit_val_test(known_targets(meta), axis), "meta-rows")
-    served = fit_ridge(split, columns, horizon, alpha)
-    probe = fit_ridge(split.where("role = 'fit'"), columns, horizon, alpha, served.scale)
-    pairs = probe.transform(split).select("site", "role", F.explode(F.arrays_zip("y", "stacked")).alias("z"))
+    split, parts = stack_parts(meta, axis, horizon, weather)
+    served = solve(total(parts), columns, horizon, alpha)
+    probe = solve(total(parts, lambda role: role == "fit"), columns, horizon, alpha, scale=served.scale)
+    pairs = probe.transform(split).select("site", "role", F.explode(F.arrays_zip(first_targets(horizon).alias("y"), "stacked")).alias("z"))
     scores = pairs.groupBy("site", "role").agg(kge_m3s(F.col("z.y"), F.col("z.stacked")).alias("kge"), F.count(F.lit(1)).alias("n"))
     return served, scores
 
 
+def fit_before_holdout(meta: DataFrame, axis: Axis, horizon: int, weather: list[str], alpha: float = 1.0) -> tuple[Ridge, DataFrame]:
+    """A model, scaling included, of all rows before each site's holdout, and the rows of the holdout."""
+    split, parts = stack_parts(meta, axis, horizon, weather)
+    return solve(total(parts, lambda role: role != "test"), meta_columns(horizon, weather), horizon, alpha), split.where("role = 'test'").drop("role", "rn", "n")
+
+
 def fit_step_trees(meta: DataFrame, axis: Axis, horizon: int, weather: list[str], params: dict | None = None) -> tuple[list[PipelineModel], DataFrame]:
     """Independent boosted trees per lead, each with its own early stopping."""
     columns = meta_columns(horizon, weather)
@@ -309,7 +294,7 @@ def fit_step_trees(meta: DataFrame, axis: Axis, horizon: int, weather: list[str]
     return models, pairs.groupBy("site", "role").agg(kge_m3s(F.col("z.y"), F.col("z.p")).alias("kge"), F.count(F.lit(1)).alias("n"))
 
 
-def test_predictions(meta: DataFrame, stack: Stack, horizon: int) -> DataFrame:
+def test_predictions(meta: DataFrame, stack: Ridge, horizon: int) -> DataFrame:
     """Long form in m3/s: (site, ts, lead, model, y, p). A row with any missing lead is left out as a whole."""
     tree = F.array(*[f"tree_{k}" for k in range(1, horizon + 1)])
     seq = F.array(*[f"seq_{k}" for k in range(1, horizon + 1)])
@@ -322,7 +307,7 @@ def test_predictions(meta: DataFrame, stack: Stack, horizon: int) -> DataFrame:
     return long.unpivot(["site", "ts", "lead", "y"], ["tree", "seq", "stacked"], "model", "p")
 
 
-def predict_future(live: DataFrame, stack: Stack, axis: Axis, horizon: int) -> DataFrame:
+def predict_future(live: DataFrame, stack: Ridge, axis: Axis, horizon: int) -> DataFrame:
     """Next `horizon` steps per site: (site, ts, q_tree, q_sequence, q_stacked) in m3/s."""
     tree = F.array(*[f"tree_{k}" for k in range(1, horizon + 1)])
     seq = F.array(*[f"seq_{k}" for k in range(1, horizon + 1)])

@@ -26,7 +26,7 @@ LAGS = [f"lag_{n}" for n in (7, 8, 12, 14, 16, 24, 32)]
 MATRIX = [*LAGS, "trend_rel"]
 HOURLY_COLUMNS = ["lag_8", "lag_12", "lag_16", "lag_24", "lag_32", "trend_rel", "recession_log_8"]
 QUICK = {"maxIter": 5, "maxDepth": 3}
-SEQ = 24
+SEQ, FOLDS = 24, 6
 
 
 def k01(s, d):
@@ -72,9 +72,8 @@ def _windows(s, d, stride=1):
 
 
 def k07(s, d):
-    windows = _windows(s, d)
-    models = ml.fit_sequence_model(windows, t.H)
-    return ml.predict_sequences(models, windows).select("site", "ts", F.posexplode("seq").alias("lead", "prediction"))
+    oof = ml.out_of_fold_sequences(_windows(s, d), t.HOURLY, FOLDS, t.H, t.H)
+    return oof.select("site", "ts", "fold", F.posexplode("seq").alias("lead", "prediction"))
 
 
 def _weather_wide(s, d):
@@ -122,10 +121,8 @@ def k11(s, d):
 
 
 def k12(s, d):
-    meta = _meta(s, d)
-    stack, _ = ml.fit_stacking(meta, t.HOURLY, t.H, WEATHER)
-    rows = ml.test_predictions(meta, stack, t.H)
-    return rounded(ev.score_per_lead(rows))
+    stack, holdout = ml.fit_before_holdout(_meta(s, d), t.HOURLY, t.H, WEATHER)
+    return rounded(ev.score_per_lead(ml.test_predictions(holdout, stack, t.H)))
 
 
 def k13(s, d):
@@ -135,10 +132,10 @@ def k13(s, d):
     trees, _ = ml.fit_final(rows, t.HOURLY, HOURLY_COLUMNS, QUICK)
     future = ml.future_matrix(dense, t.HOURLY, t.H, HOURLY_COLUMNS)
     oof = trees.transform(future).select("site", "ts", F.col("prediction").alias("oof"))
-    models = ml.fit_sequence_model(_windows(s, d), t.H)
+    model = ml.fit_sequence_model(_windows(s, d), t.H)
     last = sq.last_window(ml.extend_future(dense, t.HOURLY, t.H), t.HOURLY, SEQ, t.H)
     anchor = pr.last_observed(dense).select("site", F.col("last_ts").alias("ts"))
-    seq = ml.predict_sequences(models, last.join(anchor, "site"))
+    seq = ml.predict_sequences(model, last.join(anchor, "site"))
     frame = ml.extend_future(dense, t.HOURLY, t.H).join(oof, ["site", "ts"], "left").join(seq, ["site", "ts"], "left")
     frame = materialise(frame.join(_weather_wide(s, d), ["site", "ts"], "left"), "frame")
     meta = _meta(s, d)
