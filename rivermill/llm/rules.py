@@ -23,8 +23,8 @@ from rivermill.llm.shared import WORD, let, words
 SPAN = 5
 #: Rows on which costs and selectivities are measured.
 SAMPLE_ROWS = 1000
-#: Times that a rule is timed.
-RUNS = 3
+#: Times that a rule is timed, and how many times larger than asked for a sample may come out.
+RUNS, REPEATS = 3, 4
 
 # The symbols counted.
 SYMBOLS = "#*$%&|<>"
@@ -136,13 +136,16 @@ class Measured:
 
 
 def measure(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text", rows: int = SAMPLE_ROWS) -> list[Measured]:
-    """Cost and rejected share of every rule on a sample of at most `rows` rows, the best rule first.
+    """Cost and rejected share of every rule on a sample of rows, the best rule first.
 
-    The sample is that of the smallest text hashes, the same whatever the order and the partitions of the rows. It is held
-    in the executors' storage while it is timed; a lost part is read again. The cost is the shortest of `RUNS` times, to the
+    The sample is chosen by a hash of the whole row, the same whatever the order and the partitions of the rows, and about
+    `rows` large (`REPEATS` times that if rows repeat). It is held in the executors' storage while it is timed; a lost part
+    is read again. The cost is the shortest of `RUNS` times, to the
     nearest power of two, so that small differences between runs do not change the order.
     """
-    sample = docs.select(F.col(text).alias("t")).orderBy(F.xxhash64("t")).limit(rows).cache()
+    share = min(1.0, rows / max(1, docs.count()))
+    chosen = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(1 << 31)) < F.lit(int(share * (1 << 31)))
+    sample = docs.where(chosen).select(F.col(text).alias("t")).limit(REPEATS * rows).cache()
     try:
         n = sample.count()
 
