@@ -18,6 +18,7 @@ numbers.
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 import os
@@ -35,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
+from rivermill.session import materialise
+
 #: Bytes of text per shard, and keys per part of the index.
 SHARD_BYTES, KEYS_PER_PART = 16 << 20, 4096
 #: Bytes of text encoded at once; words and characters that an encoder remembers, and the length of those it does not.
-CHUNK_BYTES, HELD_WORDS, HELD_CHARS, LONG_WORD = 1 << 21, 3 << 18, 1 << 24, 64
+CHUNK_BYTES, HELD_WORDS, HELD_CHARS, LONG_WORD = 1 << 20, 5 << 17, 1 << 24, 64
 #: Letters taken to the model itself, how it writes bytes, what a model that can be read word by word does to a text, and how it cuts it.
 LATIN = frozenset(map(chr, range(0x100)))
 #: Printable bytes stand for themselves, the others for what follows 0xFF, in order.
@@ -104,11 +107,16 @@ class Encoder:
                 other.append(w)
         bases, other = list(set(plain.values()).difference(self.codes)), list(set(other).difference(self.codes))
         # of lower-case Latin letters, written as the model writes their bytes, the model itself gives what the whole way gives
-        tokenize, ids, lengths = self.model.model.tokenize, [], []
-        for w in bases:
-            found = tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(BYTES))
-            lengths.append(len(found))
-            ids.extend([t.id for t in found])
+        tokenize, ids, lengths, collects = self.model.model.tokenize, [], [], gc.isenabled()
+        gc.disable()  # many small lists at once, none of them in a cycle
+        try:
+            for w in bases:
+                found = tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(BYTES))
+                lengths.append(len(found))
+                ids.extend([t.id for t in found])
+        finally:
+            if collects:
+                gc.enable()
         self.add(bases, np.array(ids, np.uint32), np.array(lengths, np.int64))
         if other:
             found = self.model.encode(other, is_pretokenized=True, add_special_tokens=False)
@@ -235,8 +243,8 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
                 crc = [zlib.crc32(ids[a : a + n].astype("<u4")) for a, n in zip(begin, lengths)]
                 yield pa.RecordBatch.from_arrays([pa.array([shard] * len(keys), pa.int32()), pa.array(head), pa.array(begin), pa.array(lengths), pa.array(crc, pa.int64())], ["shard", "head", "start", "n_tokens", "ids_crc32"])
 
-    held = _shards(spark, path).mapInArrow(run, "shard int, head long, start long, n_tokens long, ids_crc32 long")
-    totals = directory(spark, path).groupBy("shard").agg(F.sum("n_ids").alias("ids"))
+    held = materialise(_shards(spark, path).mapInArrow(run, "shard int, head long, start long, n_tokens long, ids_crc32 long"), "token-documents")
+    totals = held.groupBy("shard").agg(F.sum("n_tokens").alias("ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
     offsets = totals.select(F.col("shard").alias("of"), F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
     return held.join(offsets, F.col("shard") == F.col("of")).select("shard", "head", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
