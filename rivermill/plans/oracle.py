@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # name -> (names it needs, SQL)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "readings": (
@@ -41,10 +43,10 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "transit": (
         (),
-        """SELECT r_name AS site, n_name AS station, season, hours
-           FROM nation JOIN region ON n_regionkey = r_regionkey,
-                LATERAL (VALUES ('winter', 3.0::DOUBLE), ('spring', 9.0::DOUBLE), ('summer', 12.0::DOUBLE + n_nationkey % 5)) v(season, hours)
-           WHERE n_nationkey < 20""",
+        " UNION ALL ".join(
+            f"SELECT r_name AS site, n_name AS station, '{season}' AS season, {hours} AS hours FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20"
+            for season, hours in (("winter", "3.0::DOUBLE"), ("spring", "9.0::DOUBLE"), ("summer", "12.0::DOUBLE + n_nationkey % 5"))
+        ),
     ),
     "weather_raw": (
         ("readings",),
@@ -241,7 +243,9 @@ def with_ctes(body: str, *names: str, extra: dict[str, str] | None = None) -> st
         add(name)
     parts = [f"{n} AS {'MATERIALIZED ' if n in STORED else ''}({CTES[n][1]})" for n in order]
     parts += [f"{n} AS ({sql})" for n, sql in (extra or {}).items()]
-    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body if parts else body
+    named = [(n, CTES[n][1]) for n in order] + list((extra or {}).items())
+    recursive = "RECURSIVE " if any(re.search(rf"\b(?:FROM|JOIN)\s+{n}\b", sql) for n, sql in named) else ""
+    return f"WITH {recursive}" + ",\n".join(parts) + "\n" + body if parts else body
 
 
 def rounded(digits: int = 6, **exprs: str) -> str:

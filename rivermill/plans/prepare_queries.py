@@ -476,10 +476,11 @@ ORACLE = {
     "c03_reference_lookup": q(f"SELECT site, sf.station, {_FLOW}, n FROM registry JOIN sf ON sf.station = ref_station", "registry", extra=_STFLOW),
     "c04_seasonal_transit_join": q(
         f"""SELECT r.site, r.station, r.ts, shift_steps, {rr(8, upstream='u.upstream')}
-            FROM (SELECT a.site, a.station, a.ts, greatest(8, coalesce(t.hours, 8)::BIGINT) AS shift_steps
-                  FROM (SELECT *, {SEASON} AS season FROM upstream) a
-                  LEFT JOIN transit t ON t.site = a.site AND t.station = a.station AND t.season = a.season) r
-            LEFT JOIN upstream u ON u.site = r.site AND u.station = r.station AND u.ts = r.ts - to_days(shift_steps::INTEGER)""", "upstream", "transit"),
+            FROM (SELECT *, ts - to_days(shift_steps::INTEGER) AS moved
+                  FROM (SELECT a.site, a.station, a.ts, greatest(8, coalesce(t.hours, 8)::BIGINT) AS shift_steps
+                        FROM (SELECT *, {SEASON} AS season FROM upstream) a
+                        LEFT JOIN transit t ON t.site = a.site AND t.station = a.station AND t.season = a.season)) r
+            LEFT JOIN upstream u ON u.site = r.site AND u.station = r.station AND u.ts = r.moved""", "upstream", "transit"),
     "c05_prediction_realign": q(
         f"SELECT site, ts, {_FLOW}, {rr(prediction='CASE WHEN lag_8 IS NOT NULL AND change_3 IS NOT NULL THEN lag_8 + change_3 / 2 END')} FROM lagged", "dense", extra=_LAGGED),
     "c06_replace_on_key": q(f"SELECT site, ts, {same(6, 'flow', 'temp')} FROM merged", "hourly", extra=_UPSERT),
