@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from rivermill.functions.blocks import Axis, rolling
 from rivermill.functions.columns import EPS, cap
-from rivermill.functions.ewm import ewm_halo, ewm_mean
+from rivermill.functions.ewm import ewm_means
 
 TREND_EPS = 1e-3
 
@@ -40,8 +40,9 @@ def rolling_quantile(
     return df.join(quantiles.drop(value), [*keys, axis.ts])
 
 
-#: Columns that need the moving 95 % quantile of a year, and those that need the last 30 days.
+#: Columns that need the moving 95 % quantile of a year, of these the weighted means, and those that need the last 30 days.
 CAPPED = {"q95_year", "max_seen_30d", "decline_vs_max", "baseflow_7d", "baseflow_30d", "ratio_fast_base"}
+BASEFLOW = {"baseflow_7d", "baseflow_30d", "ratio_fast_base"}
 MONTHLY = {"anomaly_zscore", "ratio_seasonal"}
 
 
@@ -54,7 +55,7 @@ def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow",
     lags = flow_lags(horizon, spd)
     capped, monthly = (only is None or bool(group & set(only)) for group in (CAPPED, MONTHLY))
     month, w, q = 30 * spd, axis.window(), F.col(value)
-    halo = max(lags[-1], horizon + month if monthly else 0, horizon + max(month, ewm_halo(axis, month)) if capped else 0)
+    halo = max(lags[-1], horizon + month if monthly else 0, month if capped else 0)
     rows = rolling_quantile(df, axis, value, 365 * spd, month, 0.95, "q95_year") if capped else df
     base = axis.split(rows, back=halo).withColumns({f"lag_{n}": F.lag(q, n).over(w) for n in lags})
     x = F.col(f"lag_{horizon}")
@@ -62,7 +63,10 @@ def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow",
     if capped:
         top = F.col("q95_year")
         base = base.withColumn("max_seen_30d", cap(rolling(F.max, q, w, month, 1), top))
-        slow |= {"baseflow_7d": cap(ewm_mean(x, 7 * spd, axis, spd), top), "baseflow_30d": cap(ewm_mean(x, month, axis, spd), top)}
+    if capped and (only is None or bool(BASEFLOW & set(only))):
+        plain = axis.split(df, back=halo).withColumn(f"lag_{horizon}", F.lag(q, horizon).over(w))
+        base = ewm_means(base, axis, f"lag_{horizon}", {"_base7": (7 * spd, spd), "_base30": (month, spd)}, source=plain)
+        slow |= {"baseflow_7d": cap(F.col("_base7"), top), "baseflow_30d": cap(F.col("_base30"), top)}
     if monthly:
         slow |= {"mean_30d": rolling(F.avg, x, w, month, 7 * spd), "std_30d": rolling(F.stddev_samp, x, w, month, 7 * spd)}
     base = base.withColumns(slow) if slow else base
@@ -82,6 +86,7 @@ def flow_features(df: DataFrame, axis: Axis, horizon: int, value: str = "flow",
     }
     if capped:
         columns["decline_vs_max"] = x / (F.col("max_seen_30d") + EPS)
+    if "baseflow_7d" in slow:
         columns["ratio_fast_base"] = F.col("baseflow_7d") / (F.col("baseflow_30d") + EPS)
     if monthly:
         columns["anomaly_zscore"] = (x - F.col("mean_30d")) / (F.col("std_30d") + EPS)

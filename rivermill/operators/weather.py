@@ -18,7 +18,7 @@ from rivermill.functions.columns import (
     floor_zero,
     haversine_km,
 )
-from rivermill.functions.ewm import ewm_halo, ewm_mean
+from rivermill.functions.ewm import ewm_means
 
 # Thresholds of the runoff model.
 INTERCEPTION = 0.9
@@ -85,8 +85,11 @@ def snow_memory() -> int:
     return math.ceil(36.8 / -math.log(STOCK_DECAY))
 
 
-def weather_base(weather: DataFrame, basins: DataFrame, axis: Axis, halo: int = 0) -> DataFrame:
-    """Split rows with precipitation phase, evapotranspiration, melt and raw net inflow."""
+def weather_base(weather: DataFrame, basins: DataFrame, axis: Axis, halo: int = 0, snow: bool = True) -> DataFrame:
+    """Split rows with precipitation phase, evapotranspiration, melt and raw net inflow.
+
+    Without `snow` the blocks get no history for the snow stock; melt and inflow are then of no use.
+    """
     keys = list(axis.keys)
     means = reference_temperature(weather, keys)
     place = weather.groupBy(*keys).agg(
@@ -104,7 +107,7 @@ def weather_base(weather: DataFrame, basins: DataFrame, axis: Axis, halo: int =
         )
         .drop("_lat", "_lon", "out_lat", "out_lon")
     )
-    split = axis.split(weather.join(point, keys), back=max(halo, 1) + snow_memory())
+    split = axis.split(weather.join(point, keys), back=max(halo, 1) + (snow_memory() if snow else 0))
     w = axis.window()
     temp = basin_temperature(F.col("temp_k"), F.col("alt_basin"), F.col("alt"))
     df = split.withColumns(
@@ -133,12 +136,11 @@ def weather_base(weather: DataFrame, basins: DataFrame, axis: Axis, halo: int =
     return df.withColumn("inflow_raw", F.when(raw > NET_INFLOW_MIN, raw).otherwise(0.0))
 
 
-def _frame(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
-    """Split rows with net inflow; the halo covers every memory used below."""
+def _frame(weather: DataFrame, basins: DataFrame, axis: Axis, days: int = 37, snow: bool = True) -> DataFrame:
+    """Split rows with net inflow and `days` of history for the windows built on them (weighted means need none)."""
     spd = axis.steps_per_day
     w = axis.window()
-    memory = max(ewm_halo(axis, 30 * spd), 30 * spd + 7 * spd)
-    df = weather_base(weather, basins, axis, halo=memory)
+    df = weather_base(weather, basins, axis, halo=days * spd, snow=snow)
     temp = F.col("temp")
     df = df.withColumns({"temp_48h": rolling(F.avg, temp, w, 2 * spd, 1), "temp_24h": rolling(F.avg, temp, w, spd, 1)})
     high = F.col("alt_basin") > HIGH_BASIN_M
@@ -151,15 +153,31 @@ def _frame(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
     )
 
 
+#: Local columns that do not depend on the snow stock, and those that look back further than a week.
+SNOW_FREE = {
+    "precip", "rain", "snow", "ground_rain", "temp", "et0", "temp_24h", "temp_48h", "temp_diff6_24h", "temp_diff6_48h",
+    "cooling_6h", "warming_6h", "frost_factor", "frost_flag", "antecedent_rain", "deficit_7d", "deficit_30d",
+    "rain_1h", "rain_3h", "rain_shock", "melt_potential", "transfer_h", "distance_km", "windows",
+}
+MONTH_BACK = {"deficit_30d", "net_mean_30d"}
+
+
 def local_features(
-    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = ()
+    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = (), only: list[str] | None = None
 ) -> DataFrame:
-    """Features at the weather point itself; `weather` must be gap-free per point."""
+    """Features at the weather point itself; `weather` must be gap-free per point.
+
+    With `only`, those columns: the weighted mean and its pass over the blocks are left out unless asked for.
+    """
     spd = axis.steps_per_day
     d3, d6 = max(1, spd // 8), max(1, spd // 4)
     w = axis.window()
     high = F.col("alt_basin") > HIGH_BASIN_M
-    df = _frame(weather, basins, axis).withColumn("melt_24h", F.when(high, rolling(F.sum, F.col("melt"), w, spd, 1)))
+    asked = None if only is None else set(only)
+    lagged = {f"{kind}_{n}" for n in lags for kind in ("precip_lag", "temp_lag", "precip_sum")}
+    days = max(8 if asked is not None and not asked & MONTH_BACK else 31, math.ceil(max(lags, default=0) / spd) + 1)
+    snow = asked is None or not asked <= SNOW_FREE | lagged
+    df = _frame(weather, basins, axis, days, snow).withColumn("melt_24h", F.when(high, rolling(F.sum, F.col("melt"), w, spd, 1)))
 
     temp, precip, net = F.col("temp"), F.col("precip"), F.col("net_inflow")
     change6 = diff(temp, w, d6)
@@ -178,7 +196,6 @@ def local_features(
         "frost_flag": F.when(
             high & (F.col("point") == 1), F.coalesce(F.col("frost_factor") < FROST_LIMIT, F.lit(False)).cast("int")
         ),
-        "antecedent_rain": ewm_mean(F.col("ground_rain"), 15 * spd, axis),
         "deficit_7d": rolling(F.sum, deficit, w, 7 * spd, 1),
         "deficit_30d": rolling(F.sum, deficit, w, 30 * spd, 1),
         "rain_1h": precip,
@@ -195,7 +212,10 @@ def local_features(
         stage[f"precip_lag_{n}"] = F.lag(precip, n).over(w)
         stage[f"temp_lag_{n}"] = F.lag("temp_k", n).over(w)
         stage[f"precip_sum_{n}"] = rolling(F.sum, precip, w, n)
-    return axis.core(df.withColumns(stage))
+    if only is None or "antecedent_rain" in only:
+        df = ewm_means(df, axis, "ground_rain", {"antecedent_rain": (15 * spd, 1)})
+    done = axis.core(df.withColumns(stage))
+    return done if only is None else done.select(*axis.keys, axis.ts, *only)
 
 
 def saturation_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
@@ -224,15 +244,27 @@ def saturation_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> Da
     return axis.core(df).select(*axis.keys, axis.ts, "saturation", *[f"saturation_diff_{h}" for h in steps])
 
 
-def travelled_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
+RESERVES = ("reserve_flash", "reserve_short", "reserve_medium", "reserve_base", "ratio_fast_base")
+TRAVELLED = (
+    "inflow_shifted", "discharge", "discharge_gradient_1h", "discharge_gradient_3h", "discharge_accel_6h",
+    "inflow_acceleration", "hydraulic_shock", *RESERVES, "reactivity_12h", "discharge_mean_6h", "discharge_mean_24h",
+    "discharge_mean_7d", "discharge_mean_30d", "surge_relative",
+    *[f"{n}_{h}h" for h in WINDOW_HOURS for n in ("inflow_mean", "discharge", "inflow_lag")],
+)
+
+
+def travelled_features(weather: DataFrame, basins: DataFrame, axis: Axis, only: list[str] | None = None) -> DataFrame:
     """Features of the inflow when it reaches the outlet, `transfer_h` steps later.
 
-    The travel time is constant per point, so they are built at the point and moved as whole rows.
+    The travel time is constant per point, so they are built at the point and moved as whole rows. With `only`,
+    those columns: the reserves and their pass over the blocks are left out unless asked for.
     """
+    reserves = only is None or bool(set(RESERVES) & set(only))
     spd = axis.steps_per_day
     d3, d6, half = max(1, spd // 8), max(1, spd // 4), max(1, spd // 2)
     w = axis.window()
-    df = _frame(weather, basins, axis).withColumn("inflow_shifted", F.col("net_inflow"))
+    days = 37 if only is None or "discharge_mean_30d" in only else 15
+    df = _frame(weather, basins, axis, days).withColumn("inflow_shifted", F.col("net_inflow"))
     df = df.withColumn("discharge", F.col("inflow_shifted") * F.col("surface_km2") / 3.6)
     x, q = F.col("inflow_shifted"), F.col("discharge")
     df = df.withColumns(
@@ -244,12 +276,12 @@ def travelled_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> Dat
             "_mean_half_day": rolling(F.avg, x, w, half, 1),
             **{f"_mean_{h}": rolling(F.avg, x, w, max(1, h * spd // 24), 1) for h in WINDOW_HOURS},
             **{f"_lag_{h}": F.lag(x, max(1, h * spd // 24)).over(w) for h in WINDOW_HOURS},
-            "reserve_flash": ewm_mean(x, half, axis),
-            "reserve_short": ewm_mean(x, 3 * spd, axis),
-            "reserve_medium": ewm_mean(x, 7 * spd, axis),
-            "reserve_base": ewm_mean(x, 30 * spd, axis),
         }
     )
+    if reserves:
+        spans = dict(zip(RESERVES, (half, 3 * spd, 7 * spd, 30 * spd)))
+        df = ewm_means(df, axis, "inflow_shifted", {name: (span, 1) for name, span in spans.items()})
+        df = df.withColumn("ratio_fast_base", F.col("reserve_short") / (F.col("reserve_base") + EPS))
 
     def used(h: int) -> Column:
         return F.array_contains("windows", h)
@@ -261,7 +293,6 @@ def travelled_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> Dat
             **{f"inflow_mean_{h}h": F.when(used(h), F.col(f"_mean_{h}")) for h in WINDOW_HOURS},
             **{f"discharge_{h}h": F.when(used(h), F.col(f"_mean_{h}") * F.col("surface_km2") / 3.6) for h in WINDOW_HOURS},
             **{f"inflow_lag_{h}h": F.when(used(h), F.col(f"_lag_{h}")) for h in WINDOW_HOURS},
-            "ratio_fast_base": F.col("reserve_short") / (F.col("reserve_base") + EPS),
             "reactivity_12h": F.col("_mean_half_day") / (last + EPS),
         }
     )
@@ -276,29 +307,32 @@ def travelled_features(weather: DataFrame, basins: DataFrame, axis: Axis) -> Dat
         }
     )
     df = df.withColumn("surge_relative", q / (F.col("discharge_mean_6h") + OFFSET))
-    made = [
-        "inflow_shifted", "discharge", "discharge_gradient_1h", "discharge_gradient_3h", "discharge_accel_6h",
-        "inflow_acceleration", "hydraulic_shock", "reserve_flash", "reserve_short", "reserve_medium", "reserve_base",
-        "ratio_fast_base", "reactivity_12h", "discharge_mean_6h", "discharge_mean_24h", "discharge_mean_7d",
-        "discharge_mean_30d", "surge_relative",
-        *[f"{n}_{h}h" for h in WINDOW_HOURS for n in ("inflow_mean", "discharge", "inflow_lag")],
-    ]
     arrival = F.timestamp_seconds(F.unix_seconds(F.col(axis.ts)) + F.col("transfer_h") * axis.step)
-    return axis.core(df).select(*axis.keys, arrival.alias(axis.ts), *made)
+    return axis.core(df).select(*axis.keys, arrival.alias(axis.ts), *(TRAVELLED if only is None else only))
 
 
 def weather_features(
-    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = ()
+    weather: DataFrame, basins: DataFrame, axis: Axis, lags: tuple[int, ...] = (), only: list[str] | None = None
 ) -> DataFrame:
-    """All features per weather point and step except the saturation index (see `saturation_features`)."""
+    """All features per weather point and step except the saturation index (see `saturation_features`).
+
+    With `only`, those columns, from the side (at the point, or arrived at the outlet) that makes them.
+    """
     keys = [*axis.keys, axis.ts]
-    return local_features(weather, basins, axis, lags).join(travelled_features(weather, basins, axis), keys, "left")
+    if only is None:
+        return local_features(weather, basins, axis, lags).join(travelled_features(weather, basins, axis), keys, "left")
+    moved = [c for c in only if c in TRAVELLED]
+    here = [c for c in only if c not in TRAVELLED]
+    rows = local_features(weather, basins, axis, lags, here) if here else weather.select(*keys)
+    if moved:
+        rows = rows.join(travelled_features(weather, basins, axis, moved), keys, "left")
+    return rows.select(*keys, *only)
 
 
 def basin_inflow(weather: DataFrame, basins: DataFrame, axis: Axis) -> DataFrame:
     """Mean discharge at the outlet over the weather points of a site; missing points are skipped."""
     keys = [*axis.keys, axis.ts]
-    arrived = travelled_features(weather, basins, axis).select(*keys, "discharge")
+    arrived = travelled_features(weather, basins, axis, only=["discharge"])
     return weather.select(*keys).join(arrived, keys, "left").groupBy("site", axis.ts).agg(
         F.avg("discharge").alias("basin_inflow")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivermill.functions.ewm import ewm_halo, ewm_mean
+from rivermill.functions.ewm import ewm_means
 from rivermill.operators import flow as fl
 from rivermill.operators import sequences as sq
 from rivermill.operators import upstream as us
@@ -30,7 +30,7 @@ def _flow(columns):
 
 def _weather(columns, lags=(), part=wx.weather_features):
     def run(s, d):
-        feats = part(t.dense_weather(s, d), t.basins(s, d), t.POINTS, lags)
+        feats = part(t.dense_weather(s, d), t.basins(s, d), t.POINTS, lags, columns)
         # Half of the temperature means end in a 5 at the sixth place; nine keep both engines off the tie.
         return rounded(feats.select("site", "point", "ts", *columns), 9 if "temp_48h" in columns else 6)
 
@@ -109,8 +109,8 @@ def w37(s, d):
 def j02(s, d):
     """EWM over daily upstream flow of every station."""
     ax = t.STATIONS_DAILY
-    split = ax.split(t.daily_upstream(s, d), back=ewm_halo(ax, 15))
-    return rounded(ax.core(split.withColumn("ewm_15", ewm_mean(F.col("upstream"), 15, ax, 3))), 8)
+    split = ax.split(t.daily_upstream(s, d))
+    return rounded(ax.core(ewm_means(split, ax, "upstream", {"ewm_15": (15, 3)})), 8)
 
 
 def j03(s, d):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivermill.functions.blocks import Axis, densify, diff, rolling, row_positions, running_totals
-from rivermill.functions.ewm import ewm_halo, ewm_mean
+from rivermill.functions.ewm import ewm_means
 from rivermill.functions.ordered import exact_quantiles
 
 SMALL = Axis(("site",), 3600, block=37)
@@ -47,12 +47,34 @@ def test_rolling_counts_present_values(series, ordered):
 def test_ewm_follows_the_recursive_definition(series, ordered, span):
     values = gappy(900, span, 0.3)
     values[:5] = [None] * 5
-    ax = Axis(("site",), 3600, block=211)
-    split = ax.split(series(values), back=ewm_halo(ax, span))
-    out = ax.core(split.withColumn("m", ewm_mean(F.col("flow"), span, ax, 24)))
+    values[300:520] = [None] * 220
     want = pd.Series(values, dtype=float).ewm(span=span, min_periods=24).mean()
-    got = pd.Series(ordered(out, "m"), dtype=float)
-    pd.testing.assert_series_equal(got, want, check_names=False, rtol=1e-9)
+    for block, back in ((211, 0), (37, 20), (None, 0)):
+        ax = Axis(("site",), 3600, block=block)
+        out = ax.core(ewm_means(ax.split(series(values), back=back), ax, "flow", {"m": (span, 24)}))
+        got = pd.Series(ordered(out, "m"), dtype=float)
+        pd.testing.assert_series_equal(got, want, check_names=False, rtol=1e-9)
+
+
+def test_ewm_carries_a_value_over_a_gap_of_years_whatever_the_block(series, ordered):
+    """Blocks without any value, weights far below the smallest double, dates before the epoch."""
+    values = gappy(60, 1) + [None] * 3000 + [7.5] + [None] * 40 + gappy(60, 2)
+    spans = {"flash": (2, 1), "short": (12, 1), "base": (30, 40)}
+    want = pd.DataFrame({n: pd.Series(values, dtype=float).ewm(span=s, min_periods=k).mean() for n, (s, k) in spans.items()})
+    df = series(values, start="1966-01-01", freq="D")
+    for block in (50, 700, None):
+        ax = Axis(("site",), 86_400, block=block)
+        rows = ordered(ax.core(ewm_means(ax.split(df), ax, "flow", spans)), *spans)
+        got = pd.DataFrame(rows, columns=list(spans), dtype=float)
+        pd.testing.assert_frame_equal(got, want, rtol=1e-9)
+    assert got["short"].iloc[3000] == got["short"].iloc[59]
+
+
+def test_ewm_of_no_rows_and_of_no_values(series, ordered):
+    df = series([None, None, None])
+    for rows, size in ((df, 3), (df.where("false"), 0)):
+        out = SMALL.core(ewm_means(SMALL.split(rows), SMALL, "flow", {"m": (12, 1)}))
+        assert ordered(out, "m") == [None] * size
 
 
 def test_densify_fills_missing_hours(spark):

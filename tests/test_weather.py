@@ -100,6 +100,20 @@ def test_features_do_not_depend_on_the_block_length(spark, series, ordered):
         assert x == pytest.approx(y, abs=1e-9)
 
 
+@pytest.mark.parametrize("only", [["precip", "rain_shock"], ["antecedent_rain"], ["deficit_30d", "deficit_7d"], ["melt_168h", "inflow_sum_168h"],
+                                  ["discharge_mean_7d", "reserve_base"], ["discharge_mean_30d", "transfer_h"]])
+def test_columns_asked_for_alone_are_the_same_in_small_blocks(spark, series, ordered, only):
+    rng = np.random.default_rng(4)
+    n = 900
+    w = frame(series, [float(v) for v in 273 + rng.normal(0, 6, n)], np.cumsum(rng.gamma(0.4, 2.0, n)), lat=43.6, lon=1.4)
+    small = Axis(("site", "point"), 3600, block=64)
+    a = ordered(wx.weather_features(w, basin(spark, 1500.0), small, only=only), *only)
+    b = ordered(wx.weather_features(w, basin(spark, 1500.0), POINT), *only)
+    assert len(a) == n
+    for x, y in zip(a, b):
+        assert x == pytest.approx(y, abs=1e-9)
+
+
 def test_high_basin_block_is_null_below_the_limit(spark, series):
     w = frame(series, [280.0] * 48, np.arange(48) * 2.0)
     low = wx.local_features(w, basin(spark, 300.0), POINT).first()
