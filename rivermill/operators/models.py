@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,7 +68,12 @@ def fit_trees(rows: DataFrame, columns: list[str], params: dict | None = None, v
     trees = GBTRegressor(featuresCol="features", labelCol="label", weightCol="weight", seed=SEED, **{**TREE_PARAMS, **(params or {})})
     if validation:
         trees = trees.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), trees]).fit(rows)
+    return Pipeline(stages=[*_assembled(columns), trees]).fit(rows)
+
+
+def _assembled(columns: list[str]) -> list[VectorAssembler]:
+    """No stage where the rows carry a vector already (`columns` is then its name, `features`)."""
+    return [] if columns == ["features"] else [VectorAssembler(inputCols=columns, outputCol="features")]
 
 
 def fit_final(rows: DataFrame, axis: Axis, columns: list[str], params: dict | None = None) -> tuple[PipelineModel, DataFrame]:
@@ -115,11 +122,24 @@ def feature_importances(rows: DataFrame, columns: list[str], trees: int = 20) ->
     return list(zip(columns, [float(v) for v in model.stages[-1].featureImportances.toArray()]))
 
 
+def slot_importances(matrix: DataFrame, names: list[str], trees: int = 20) -> list[tuple[str, float]]:
+    """Importance of every slot of `features`, by name."""
+    forest = RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=trees, maxDepth=5, seed=SEED)
+    return list(zip(names, [float(v) for v in forest.fit(matrix).featureImportances.toArray()]))
+
+
+def slice_features(matrix: DataFrame, names: list[str], chosen: list[str]) -> DataFrame:
+    """`features` cut down to the chosen slots, in their order."""
+    at = {name: i for i, name in enumerate(names)}
+    cut = VectorSlicer(inputCol="_all", outputCol="features", indices=[at[c] for c in chosen])
+    return cut.transform(matrix.withColumnRenamed("features", "_all")).drop("_all")
+
+
 def choose_features(importances: list[tuple[str, float]], top: int = 50, slow_limit: int = 3) -> list[str]:
     """The most important columns, at most three slow ones, and the forced ones."""
     ranked = [c for c, _ in sorted(importances, key=lambda x: -x[1])][:top]
     names = [c for c, _ in importances]
-    slow = [c for c in ranked if c.startswith(SLOW)]
+    slow = [c for c in ranked if re.sub(r"_\d+$", "", c) in SLOW]
     quick = [c for c in ranked if c not in slow]
     forced = [c for c in FORCED if c in names and c not in ranked]
     return quick + slow[:slow_limit] + forced

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from rivermill.functions.ordered import exact_quantiles
 from rivermill.operators import evaluate as ev
 from rivermill.operators import forecast as fc
+from rivermill.operators import layout as ly
 from rivermill.operators import models as ml
 from rivermill.operators import prepare as pr
 from rivermill.operators import quality as ql
 from rivermill.operators import sequences as sq
 from rivermill.operators import splits as sp
 from rivermill.plans import tables as t
-from rivermill.plans.oracle import kge_sql
+from rivermill.plans.oracle import SEASON, kge_sql
 from rivermill.plans.oracle import rounded as rr
 from rivermill.plans.oracle import with_ctes as q
 from rivermill.plans.prepare_queries import _stored_rows, _STORED
@@ -41,6 +42,43 @@ def k02(s, d):
     return rounded(rows.select("site", "ts", "flow", *MATRIX), 8)
 
 
+WIDE = {
+    "flow": ["lag_8", "lag_12", "lag_24", "trend_rel"],
+    "weather": ["temp", "precip", "ground_rain", "et0", "temp_24h", "snow_stock", "melt", "melt_24h", "net_inflow", "discharge"],
+    "upstream": ["upstream_lag_8", "upstream_lag_20", "upstream_gradient_24h", "upstream_ratio"],
+}
+
+
+def _sources(s, d, only=None, future=False):
+    flow, above = t.dense_hourly(s, d), t.hourly_upstream(s, d)
+    if future:
+        flow, above = ml.extend_future(flow, t.HOURLY, t.H), ml.extend_future(above, t.HOURLY_UPSTREAM, t.H)
+    flow = materialise(flow, "hourly")
+    transit = t.hourly_transit(s, d)
+    return flow, ly.matrix_sources(
+        flow, t.dense_weather(s, d), t.basins(s, d), above, transit, t.H, t.HOURLY, t.POINTS, t.HOURLY_UPSTREAM, only)
+
+
+def _slots(rows, names, *keep):
+    cells = F.transform(vector_to_array("features"), lambda v, i: F.struct(F.array(*map(F.lit, names))[i].alias("slot"), v.alias("value")))
+    return rounded(rows.select("site", "ts", *keep, F.explode(cells).alias("cell")).select("site", "ts", *keep, "cell.slot", "cell.value"), 9)
+
+
+def k01_wide(s, d):
+    """Every slot of every row with a known flow; the complete ones are the training rows."""
+    flow, sources = _sources(s, d, WIDE)
+    layout = ly.fit_layout(sources)
+    known = flow.where(F.col("flow").isNotNull()).select("site", "ts", F.log1p("flow").alias("label"))
+    return _slots(ly.wide_matrix(layout, sources, known), layout.names(), "label", "complete")
+
+
+def k02_wide(s, d):
+    """The layout fitted on the past, applied to the rows up to the end of the forecast."""
+    layout = ly.fit_layout(_sources(s, d, WIDE)[1])
+    flow, sources = _sources(s, d, WIDE, future=True)
+    return _slots(ly.future_rows(layout, sources, t.HOURLY, flow, t.H), layout.names(), "complete")
+
+
 def _rows(s, d):
     feats = ml.feature_matrix(materialise(t.dense_hourly(s, d), "hourly"), t.HOURLY, t.H, HOURLY_COLUMNS)
     return materialise(feats, "matrix")
@@ -188,6 +226,7 @@ def k19(s, d):
 
 
 QUERIES = {
+    "k01_wide_matrix": k01_wide, "k02_wide_future": k02_wide,
     "k01_feature_matrix": k01, "k02_future_matrix": k02, "k03_tree_regressor": k03, "k04_feature_selection": k04, "k05_hyperparameter_search": k05,
     "k06_out_of_fold": k06, "k07_sequence_regressor": k07, "k08_meta_features": k08, "k09_meta_features_live": k09, "k10_ridge_stacking": k10,
     "k11_per_step_trees": k11, "k12_predict_test": k12, "k13_predict_future": k13, "k14_model_promotion": k14, "k15_evaluation_window": k15,
@@ -224,6 +263,43 @@ def _meta_sql(live: bool) -> dict[str, str]:
     }
 
 
+def _wide_sql(future: bool) -> str:
+    """Cells by name, the features a member has at all, rows whose members are all there and know all they have."""
+    ahead = lambda keys: f" UNION ALL SELECT {keys}, m + to_hours(k::INTEGER), NULL FROM (SELECT {keys}, max(ts) AS m FROM {{}} GROUP BY ALL), LATERAL (SELECT unnest(range(1, 9)) AS k)" if future else ""
+    doy = "2 * pi() * (dayofyear(ts) - 172) / 365"
+    flow = {**{c: c for c in ("lag_8", "lag_12", "lag_24")}, "trend_rel": "(lag_8 - lag_12) / (lag_8 + 1e-3)", "season_sin": f"sin({doy})", "season_cos": f"cos({doy})"}
+    weather = {c: c for c in WIDE["weather"]}
+    above = {"upstream_lag_8": "up", "upstream_lag_20": "lag_up_12", "upstream_gradient_24h": "up - lag_up_24", "upstream_ratio": "up / (lag_8 + 1e-6)"}
+
+    def long(kind: str, cols: dict[str, str], table: str, place: str) -> str:
+        cells = ", ".join(f"{{'f': '{n}', 'v': ({e})::DOUBLE}}" for n, e in cols.items())
+        return f"SELECT '{kind}' AS kind, site, ts, {place} AS place, c.f AS f, c.v AS v FROM (SELECT *, unnest([{cells}]) AS c FROM {table})"
+
+    extra = {
+        "ax": "SELECT site, ts, flow FROM dense" + ahead("site").format("dense"),
+        "fl": "SELECT *, lag(flow, 8) OVER w AS lag_8, lag(flow, 12) OVER w AS lag_12, lag(flow, 24) OVER w AS lag_24, row_number() OVER (PARTITION BY site ORDER BY ts DESC) AS back FROM ax WINDOW w AS (PARTITION BY site ORDER BY ts)",
+        "sh": "SELECT site, station, date_trunc('hour', ts) AS ts, avg(flow) AS upstream FROM readings GROUP BY 1, 2, 3",
+        "sd": "SELECT a.site, a.station, a.ts, upstream FROM (SELECT site, station, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts FROM sh GROUP BY 1, 2) a LEFT JOIN sh ON sh.site = a.site AND sh.station = a.station AND sh.ts = a.ts",
+        "st": "SELECT site, station, ts, upstream FROM sd" + ahead("site, station").format("sd"),
+        "tr": "SELECT DISTINCT site, station, unnest([{'season': 'winter', 'hours': point * 3.0 + 6}, {'season': 'spring', 'hours': point * 1.0}]) AS t FROM readings",
+        "rcv": f"SELECT st.site, st.station, st.ts, st.ts - to_hours(greatest(8, coalesce(t.hours, 8)::BIGINT)::INTEGER) AS src FROM (SELECT *, {SEASON} AS season FROM st) st LEFT JOIN tr ON tr.site = st.site AND tr.station = st.station AND t.season = st.season",
+        "up": "SELECT *, lag(up, 12) OVER w AS lag_up_12, lag(up, 24) OVER w AS lag_up_24, dense_rank() OVER (PARTITION BY site ORDER BY station) - 1 AS place FROM (SELECT r.site, r.station, r.ts, b.upstream AS up, lag_8 FROM rcv r LEFT JOIN st b ON b.site = r.site AND b.station = r.station AND b.ts = r.src LEFT JOIN fl ON fl.site = r.site AND fl.ts = r.ts) WINDOW w AS (PARTITION BY site, station ORDER BY ts)",
+        "we": "SELECT *, CASE WHEN high THEN sum(melt) OVER (PARTITION BY site, point ORDER BY rn ROWS 23 PRECEDING) END AS melt_24h, dense_rank() OVER (PARTITION BY site ORDER BY point) - 1 AS place FROM arrived",
+        "cells": " UNION ALL ".join([
+            long("flow", flow, "fl", "0"), long("weather", weather, "we", "place"), long("upstream", above, "up", "place"),
+            "SELECT 'basin', site, ts, 0, 'basin_inflow', avg(discharge) FROM arrived GROUP BY site, ts"]),
+        "have": "SELECT kind, site, place, f, count(v) > 0 AS has FROM cells GROUP BY ALL",
+        "need": "SELECT site, count(DISTINCT (kind, place)) AS n FROM have GROUP BY site",
+        "whole": "SELECT c.site, c.ts, count(DISTINCT (c.kind, c.place)) AS n, bool_and(v IS NOT NULL OR NOT has) AS known FROM cells c JOIN have h ON h.kind = c.kind AND h.site = c.site AND h.place = c.place AND h.f = c.f GROUP BY 1, 2",
+        "chosen": "SELECT fl.site, fl.ts, flow, back, coalesce(known AND w.n = need.n, FALSE) AS complete FROM fl LEFT JOIN whole w ON w.site = fl.site AND w.ts = fl.ts LEFT JOIN need ON need.site = fl.site",
+        "slots": "SELECT DISTINCT kind, place, f, CASE WHEN kind IN ('weather', 'upstream') THEN f || '_' || (place + 1) ELSE f END AS slot FROM have",
+    }
+    keep, rows = ("complete", "complete OR back <= 8") if future else (rr(9, label="ln(1 + flow)") + ", complete", "flow IS NOT NULL")
+    return q(
+        f"""SELECT r.site, r.ts, {keep}, slot, {rr(9, value="coalesce(v, 0)")} FROM (SELECT * FROM chosen WHERE {rows}) r CROSS JOIN slots s
+            LEFT JOIN cells c ON c.site = r.site AND c.ts = r.ts AND c.kind = s.kind AND c.place = s.place AND c.f = s.f""", "dense", "readings", "arrived", extra=extra)
+
+
 _TREES = {f"tree_{k}": f"tree_{k}" for k in range(1, 9)}
 _SEQS = {f"seq_{k}": "seq" for k in range(1, 9)}
 _REST = {
@@ -245,6 +321,8 @@ _DECIDE = f"""SELECT site, CASE WHEN site = 'view' THEN 'first_training' WHEN kc
 _ALL_TREES = " AND ".join(f"tree_{k} IS NOT NULL" for k in range(1, 9))
 
 ORACLE = {
+    "k01_wide_matrix": _wide_sql(False),
+    "k02_wide_future": _wide_sql(True),
     "k01_feature_matrix": q(
         f"SELECT site, ts, {rr(label='ln(1 + flow)', total=_SUM)}, {len(MATRIX)}::BIGINT AS width FROM mat WHERE flow IS NOT NULL AND {_FULL}", "flow_lag", extra=_MATRIX_SQL),
     "k02_future_matrix": q(

@@ -14,6 +14,7 @@ HOURLY = Axis(("site",), 3600)
 DAILY = Axis(("site",), 86_400)
 POINTS = Axis(("site", "point"), 3600)
 STATIONS_HOURLY = Axis(("station",), 3600)
+HOURLY_UPSTREAM = Axis(("site", "station"), 3600)
 STATIONS_DAILY = Axis(("site", "station"), 86_400)
 H = 8
 
@@ -117,6 +118,19 @@ def dense_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(densify(normalise_weather(weather_raw(spark, sf_dir), POINTS), POINTS), "weather")
 
 
+def hourly_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stations of an event site, in the role of its upstream stations."""
+    means = hourly_mean(readings(spark, sf_dir), HOURLY_UPSTREAM)
+    return materialise(densify(means, HOURLY_UPSTREAM).withColumnRenamed("flow", "upstream"), "hourly-upstream")
+
+
+def hourly_transit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Travel time of those stations in winter and spring; other seasons have none."""
+    hours = F.create_map(F.lit("winter"), F.col("point") * 3.0 + 6, F.lit("spring"), F.col("point") * 1.0)
+    members = readings(spark, sf_dir).select("site", "station", "point").distinct()
+    return members.select("site", "station", F.explode(hours).alias("season", "hours"))
+
+
 def basins(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.length("site")
     return (
