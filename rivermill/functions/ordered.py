@@ -5,29 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivermill.session import materialise
+
 # A task sorts at most about this fraction of the distinct values of one group.
 BUCKETS = 4096
+# Values wanted per bucket (a small group gets fewer cut points), and tasks that share the values of one group.
+PER_BUCKET = 256
+SALTS = 64
 
 
-def value_buckets(counts: DataFrame, keys: list[str], value: str, sums: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """Adds `_bucket`, per-sum totals of lower buckets (`_before_x`), group totals (`_all_x`) and the
-    smallest value of the next bucket (`_next_min`).
+def place(counts: DataFrame, keys: list[str], value: str, buckets: int = BUCKETS, per_bucket: int = PER_BUCKET) -> DataFrame:
+    """Adds `_bucket`, the number of cut points of the group below the value (`buckets` is a power of two).
 
-    `counts` holds one row per (keys, value). The cut points come from a mergeable sketch, so they only
-    balance the buckets; the totals are exact.
+    The cut points come from a mergeable sketch. They are copied to every salt and the values meet them on (keys, salt), so
+    the values of one group are never in one task. Copies stay smaller than the values: a group has one cut point per
+    `per_bucket` distinct values at most.
     """
     # One literal instead of thousands of nodes, which the analyzer would visit again and again.
     shares = ",".join(repr(i / buckets) for i in range(1, buckets))
     at = F.split(F.lit(shares), ",").cast("array<double>")
-    cuts = counts.groupBy(*keys).agg(F.percentile_approx(value, at, F.lit(10_000)).alias("_cuts"))
-    # Number of cut points below the value, by bisection (`buckets` is a power of two). One projection per
-    # halving keeps it in generated code; a lambda over the cut points would be interpreted.
-    placed = counts.join(cuts, keys).withColumn("_bucket", F.lit(0))
+    cuts = counts.groupBy(*keys).agg(
+        F.percentile_approx(value, at, F.lit(10_000)).alias("_cuts"), F.count(F.lit(1)).alias("_n")
+    )
+    stride = F.greatest(F.lit(1), F.ceil(F.lit(buckets * per_bucket) / F.col("_n")))
+    cuts = cuts.select(
+        *keys,
+        F.filter("_cuts", lambda _, i: F.pmod(i + 1, stride) == 0).alias("_cuts"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+    )
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
+    placed = salted.join(cuts, [*keys, "_salt"]).withColumn("_bucket", F.lit(0))
+    # By bisection, a place beyond the last cut point counting as above the value. One projection per halving keeps
+    # it in generated code; a lambda over the cut points would be interpreted.
     for k in range(1, buckets.bit_length()):
         half = buckets >> k
         below = F.get("_cuts", F.col("_bucket") + (half - 1)) < F.col(value)
         placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(below, half).otherwise(0))
-    placed = placed.drop("_cuts")
+    return placed.drop("_cuts", "_salt")
+
+
+def value_buckets(
+    counts: DataFrame, keys: list[str], value: str, sums: list[str], buckets: int = BUCKETS, per_bucket: int = PER_BUCKET
+) -> DataFrame:
+    """Adds `_bucket`, per-sum totals of lower buckets (`_before_x`), group totals (`_all_x`) and the
+    smallest value of the next bucket (`_next_min`).
+
+    `counts` holds one row per (keys, value); it is written once. The cut points only balance the buckets; the totals
+    are exact.
+    """
+    placed = place(materialise(counts, "value-counts"), keys, value, buckets, per_bucket)
     totals = placed.groupBy(*keys, "_bucket").agg(
         F.min(value).alias("_min"), *[F.sum(s).alias(f"_t_{s}") for s in sums]
     )
@@ -58,12 +84,12 @@ def running_by_value(placed: DataFrame, keys: list[str], value: str, sums: list[
 
 
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], buckets: int = BUCKETS
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], buckets: int = BUCKETS, per_bucket: int = PER_BUCKET
 ) -> DataFrame:
     """Linear-interpolated quantiles per group (the numpy default rule), one column per entry of `probs`."""
     present = df.where(F.col(value).isNotNull())
     counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    placed = value_buckets(counts, keys, value, ["n"], buckets)
+    placed = value_buckets(counts, keys, value, ["n"], buckets, per_bucket)
 
     def rank(p: float, end: str = "_all_n") -> str:
         return f"(({end} - 1) * {float(p)!r}D)"

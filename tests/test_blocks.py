@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from rivermill.functions.blocks import Axis, densify, diff, rolling, row_positions, running_totals
 from rivermill.functions.ewm import ewm_means
-from rivermill.functions.ordered import exact_quantiles
+from rivermill.functions.ordered import SALTS, exact_quantiles, place
 
 SMALL = Axis(("site",), 3600, block=37)
 WHOLE = Axis(("site",), 3600)
@@ -100,7 +100,25 @@ def test_quantiles_are_exact_with_ties_and_a_hot_group(spark):
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("hot", None)]
     df = spark.createDataFrame(rows, "site STRING, v DOUBLE")
     probs = {"p0": 0.0, "p15": 0.15, "p50": 0.5, "p90": 0.9, "p99": 0.99, "p100": 1.0}
-    for buckets in (4, 256):
-        got = {r.site: r for r in exact_quantiles(df, ["site"], "v", probs, buckets).collect()}
+    for buckets, per_bucket in ((4, 1), (256, 1), (256, 16), (4096, 256)):
+        got = {r.site: r for r in exact_quantiles(df, ["site"], "v", probs, buckets, per_bucket).collect()}
         for k, vs in groups.items():
             assert [got[k][n] for n in probs] == pytest.approx(np.percentile(vs, [p * 100 for p in probs.values()]).tolist())
+
+
+def test_values_of_a_hot_group_stay_spread(spark):
+    """Without broadcast, the values of the only group meet its cut points in many tasks, and buckets stay in order."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        counts = spark.range(20_000).select(F.lit("hot").alias("site"), F.col("id").cast("double").alias("v"), F.lit(1).alias("n"))
+        placed = place(counts, ["site"], "v", 256, 100).withColumn("task", F.spark_partition_id())
+        tasks = [r["count"] for r in placed.groupBy("task").count().collect()]
+        sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("_bucket").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert SALTS >= 8 and sum(tasks) == 20_000 and max(tasks) < 20_000 / 3
+    assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:])) and max(r.n for r in sizes) < 1000
