@@ -9,6 +9,7 @@ from rivermill.functions.columns import paris_time
 from rivermill.operators.prepare import tail_rows
 from rivermill.operators.splits import from_now
 from rivermill.operators.turbine import best_priority, hydraulic_points, turbine_time
+from rivermill.session import materialise
 
 OBSERVED_ROWS = 48
 MODEL_COLUMNS = ("q_tree", "q_sequence", "q_stacked")
@@ -100,7 +101,7 @@ def lookup_forecast(forecast: DataFrame, models: DataFrame, site: str) -> DataFr
         raise LookupError(f"no served model for site {site}")
     rows = forecast.where((F.col("site") == site) & (F.col("source") == "prediction"))
     newest = rows.agg(F.max("run_date").alias("run_date"))
-    found = rows.join(newest, "run_date").select("site", "ts", "q_stacked", "q_in")
+    found = materialise(rows.join(newest, "run_date").select("site", "ts", "q_stacked", "q_in"), "lookup")
     if found.isEmpty():
         raise LookupError(f"no forecast stored for site {site}")
     return found

@@ -49,12 +49,13 @@ def contract_facts(
     )
 
 
-def contract_errors(facts: DataFrame) -> Column:
+def contract_errors(facts: DataFrame, no_target: str = "target_all_missing") -> Column:
+    """Codes in the order of the checks; `no_target` is the one for a series without a single target value."""
     c = F.col
     found = F.array(
         F.when(c("n_unsorted") > 0, "not_sorted"),
         F.when(c("n_duplicates") > 0, "duplicate_ts"),
-        F.when(c("n_target") == 0, "target_all_missing"),
+        F.when(c("n_target") == 0, no_target),
         F.when(c("n_negative") > 0, "negative_flow"),
     )
     return F.when(c("n_rows") == 0, F.array(F.lit("empty"))).otherwise(F.array_compact(found))
@@ -77,19 +78,23 @@ def contract_report(
     df: DataFrame, sites: DataFrame | None = None, strict: bool = False, others: tuple[str, ...] = (), target: str = "flow"
 ) -> DataFrame:
     """Report row per site; `sites` adds those without a single row. `strict` turns warnings into errors."""
-    if target not in df.columns or not dict(df.dtypes)[target] in ("double", "float", "int", "bigint", "smallint"):
-        code = "target_missing" if target not in df.columns else "target_not_numeric"
+    if target not in df.columns:
         listed = (sites if sites is not None else df.select("site").distinct()).select("site")
         return listed.select(
             "site",
-            F.array(F.lit(code)).alias("errors"),
+            F.array(F.lit("target_missing")).alias("errors"),
             F.array().cast("array<string>").alias("warnings"),
             F.lit(False).alias("ok"),
         )
+    numeric = dict(df.dtypes)[target] in ("double", "float", "int", "bigint", "smallint")
+    if not numeric:
+        # The order of the rows is still checked; there is nothing to count in the target.
+        df = df.withColumn(target, F.lit(None).cast("double"))
     facts = contract_facts(df, target=target, others=others)
     if sites is not None:
         facts = sites.select("site").join(facts, "site", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
-    errors, warnings = contract_errors(facts), contract_warnings(facts)
+    errors = contract_errors(facts, "target_all_missing" if numeric else "target_not_numeric")
+    warnings = contract_warnings(facts)
     if strict:
         errors, warnings = F.concat(errors, warnings), F.array().cast("array<string>")
     return facts.withColumns({"errors": errors, "warnings": warnings}).select(

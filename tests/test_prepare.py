@@ -125,6 +125,14 @@ def test_contract(spark):
         ql.require_ok(ql.contract_report(table(spark, short, "site STRING, seq LONG, ts STRING, flow DOUBLE"), strict=True))
 
 
+def test_a_target_that_is_no_number_keeps_the_order_errors(spark):
+    rows = [("a", 0, "2025-01-01 00:00:00", "x"), ("a", 1, "2025-01-01 02:00:00", "1"), ("a", 2, "2025-01-01 01:00:00", "2"),
+            ("a", 3, "2025-01-01 02:00:00", "3"), ("b", 0, "2025-01-01 00:00:00", "1")]
+    df = table(spark, rows, "site STRING, seq LONG, ts STRING, flow STRING")
+    got = {r.site: (r.errors, r.warnings, r.ok) for r in ql.contract_report(df, sites=spark.createDataFrame([("a",), ("b",), ("c",)], "site STRING")).collect()}
+    assert got == {"a": (["not_sorted", "duplicate_ts", "target_not_numeric"], [], False), "b": (["target_not_numeric"], [], False), "c": (["empty"], [], False)}
+
+
 def test_contract_facts_do_not_depend_on_the_block(spark):
     rows = hours(300)
     rows[40] = ("a", 40, rows[10][2], 10.0)
