@@ -87,6 +87,12 @@ def _scored(rows: DataFrame, models: dict[str, LogisticRegressionModel]) -> Data
 
 def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> tuple[dict[str, View], float]:
     """Both views, calibrated, and the share of good labels. No views if the labels have one class or none."""
+    views, prior, _ = _learn(docs, labels, text, doc_id, label)
+    return views, prior
+
+
+def _learn(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str) -> tuple[dict[str, View], float, DataFrame | None]:
+    """As `train`, and the features of every row, written once to learn from and to score."""
     docs = _needed(docs, text, doc_id)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_of")).agg(F.max(label).cast("double").alias("label"))
     first = materialise(known.orderBy(F.xxhash64("_of"), "_of").limit(LABELLED), "cotrain-labels")
@@ -95,11 +101,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     prior = counts.get(1.0, 0) / sum(counts.values()) if counts else 0.5
     if len(counts) < 2:
-        return {}, prior
+        return {}, prior, None
     aside = F.pmod(F.xxhash64(F.col("id"), F.lit("aside")), F.lit(5)) == 0
     learning, calibration = rows.where(~aside).cache(), rows.where(aside)
-    others = docs.join(known, F.col(doc_id) == F.col("_of"), "left_anti").where(F.col(doc_id).isNotNull())
-    pool = materialise(features(others, text, doc_id), "cotrain-unlabelled")
+    told = features(docs, text, doc_id).join(known, F.col("id") == F.col("_of"), "left")  # vectors are moved, not texts
+    everything = materialise(told.select("id", *VIEWS, F.col("_of").isNotNull().alias("known")), "cotrain-features")
+    pool = everything.where(~F.col("known") & F.col("id").isNotNull())
     sets = {view: learning for view in VIEWS}
     models = {view: _fit(sets[view], view) for view in VIEWS}
     for _ in range(ROUNDS):
@@ -119,16 +126,16 @@ def train(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, label: str
         else:
             views[view] = View(models[view], 1.0, 0.0)
     learning.unpersist()
-    return views, prior
+    return views, prior, everything
 
 
 def score(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> DataFrame:
     """`doc_id`, the calibrated `content_score` and `meta_score`, their combination `score`, and `good` for every row."""
-    views, prior = train(docs, labels, text, doc_id, label)
+    views, prior, everything = _learn(docs, labels, text, doc_id, label)
     if not views:
         flat = F.lit(float(prior))
         return docs.select(doc_id, flat.alias("content_score"), flat.alias("meta_score"), flat.alias("score"), (flat >= 0.5).alias("good"))
-    rows = _scored(features(docs, text, doc_id), {v: view.model for v, view in views.items()})
+    rows = _scored(everything, {v: view.model for v, view in views.items()})
     base = F.log(F.lit(prior / (1 - prior)))
     odds = {v: view.log_odds(rows, v) for v, view in views.items()}
     chance = lambda x: 1 / (1 + F.exp(-x))

@@ -95,3 +95,12 @@ def test_all_unlabelled_rows_take_part(spark, docs, monkeypatch):
     monkeypatch.setattr(cotrain, "_fit", lambda rows, view: seen.append(rows.count()) or fit(rows, view))
     cotrain.train(docs(rows), spark.createDataFrame([(k, 1 - k % 2) for k in range(100)], "doc_id LONG, quality INT"), "text", "doc_id", "quality")
     assert len(seen) == 6 and all(n == seen[0] + 8900 for n in seen[2:])
+
+
+def test_every_text_is_cut_into_tokens_once(spark, docs, monkeypatch):
+    rows = [(k, "BUY NOW $$$" if k % 2 else "calm river story") for k in range(300)] + [(None, "a null id"), (7, None)]
+    cut, seen = cotrain.features, []
+    monkeypatch.setattr(cotrain, "features", lambda df, *a, **carried: seen.append(df.count()) or cut(df, *a, **carried))
+    got = cotrain.score(docs(rows), spark.createDataFrame([(k, 1 - k % 2) for k in range(100)], "doc_id LONG, quality INT")).collect()
+    assert seen == [101, 302]  # the labelled rows to fit on, then every row
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
